@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import exact_dedup, mixing, simhash
+import public_tokenizers
+
+from pagewright.llm import exact_dedup, language_id, mixing, packing, simhash
 from pagewright.llm.scratch import store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in none of the known languages go."""
+    return language_id.keep_known(docs)
+
+
 def stage_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest doc_id stays."""
     return exact_dedup.drop_exact(docs)
@@ -27,10 +34,17 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs)
 
 
+def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of the mix: a row per piece of a document."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", stage_language),
     ("exact_dedup", stage_exact),
     ("simhash", stage_near),
     ("mixing", stage_mix),
+    ("packing", stage_pack),
 ]
 
 #: Fingerprints and tokens are beyond SQL; tests hold the stages against brute force.

@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, simhash
+import public_tokenizers
+
+from . import chat_format, exact_dedup, language_id, mixing, packing, simhash
+
+
+#: The tokenizer of op7; its file is read where it lies.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +28,26 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.document_languages(_table(spark, sf_dir, "documents"))
+
+
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator with all its evidence: markup, address suffix, host and domain."""
+    return language_id.page_languages(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat_format.chat_digests(turns.unionByName(extra))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -30,7 +56,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
+    "page_language_id": page_language_id,
+    "op7_packing": op7_packing,
     "op9_simhash": op9_simhash,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -70,5 +100,20 @@ with d as (
 select doc_id, max(doc_id) over (partition by text_sha256) as keep_id, count(*) over (partition by text_sha256) as group_size,
        row_number() over (partition by text_sha256 order by doc_id desc nulls last) = 1 as kept, text_sha256
 from d
+""",
+    "op10_chat_format": """
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), f as (
+  select *, lag(role) over (partition by conv_id order by turn nulls first, role, text) is not distinct from role as joined from c
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       coalesce(sum(case when role = 'assistant' then length(text) end), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls first, role, text), '')) as loss_sha256,
+       sum(case when joined then 8 else 8 + 8 + 7 + length(replace(replace(role, '&', '&amp;'), '<', '&lt;')) end
+           + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')))::bigint as formatted_chars
+from f group by conv_id
 """,
 }
