@@ -38,14 +38,12 @@ def trigram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     code = (low[:-2] << 16) + (low[1:-1] << 8) + low[2:]
     mixed = code * 0x9E3779B1 & 0xFFFFFFFF
     bucket = (mixed >> 16).astype(np.int64)
-    counts = np.fromiter(map(len, texts), np.int64, len(texts))
-    # texts are two spaces apart: of a text's stretch all but the trigram that begins at the first of them
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    # a text's stretch has two trigrams too many: the first begins with both spaces before it, the last ends with both after it
+    starts = np.cumsum(np.r_[0, sizes[:-1] + 2]) if len(sizes) else np.empty(0, np.int64)
     keep = np.ones(len(bucket), bool)
-    starts = np.cumsum(np.r_[0, counts[:-1] + 2]) if len(counts) else np.empty(0, np.int64)
-    keep[starts] = False
-    sizes = counts.copy()
-    bucket = bucket[keep][: int(sizes.sum())]
-    return bucket, sizes
+    keep[starts] = keep[starts + sizes + 1] = False
+    return bucket[keep], sizes
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
