@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import chat_format, exact_dedup, language_id, mixing, packing, simhash
+from . import chat_format, exact_dedup, html_extract, language_id, mixing, packing, simhash, topk
 
 
 #: The tokenizer of op7; its file is read where it lies.
@@ -37,6 +37,14 @@ def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.page_languages(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -58,7 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "page_language_id": page_language_id,
+    "op5_html_extract": op5_html_extract,
     "op7_packing": op7_packing,
+    "op8_topk": op8_topk,
     "op9_simhash": op9_simhash,
     "op10_chat_format": op10_chat_format,
 }
@@ -100,6 +110,17 @@ with d as (
 select doc_id, max(doc_id) over (partition by text_sha256) as keep_id, count(*) over (partition by text_sha256) as group_size,
        row_number() over (partition by text_sha256 order by doc_id desc nulls last) = 1 as kept, text_sha256
 from d
+""",
+    "op8_topk": """
+with v as (
+  select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.r, q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.r <> c.r and len(q.v) = len(c.v) where q.vec_id % 50 = 0
+)
+select query_id, rank, vec_id, score
+from (select *, (row_number() over (partition by r order by score desc, vec_id))::int as rank from s) where rank <= 5
 """,
     "op10_chat_format": """
 with c as (
