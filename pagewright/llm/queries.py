@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import chat_format, exact_dedup, html_extract, language_id, mixing, packing, simhash, topk
+from . import chat_format, exact_dedup, html_extract, language_id, lm_score, mixing, packing, simhash, topk
 
 
 #: The tokenizer of op7; its file is read where it lies.
@@ -41,6 +41,10 @@ def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "page_language_id": page_language_id,
     "op5_html_extract": op5_html_extract,
+    "op6_lm_score": op6_lm_score,
     "op7_packing": op7_packing,
     "op8_topk": op8_topk,
     "op9_simhash": op9_simhash,
