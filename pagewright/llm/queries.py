@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import chat_format, exact_dedup, html_extract, language_id, lm_score, mixing, packing, simhash, topk
+from . import chat_format, exact_dedup, html_extract, language_id, lm_score, mixing, packing, simhash, substring_dedup, topk
 
 
 #: The tokenizer of op7; its file is read where it lies.
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_table(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
