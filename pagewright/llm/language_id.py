@@ -27,17 +27,16 @@ BUCKETS = 1 << 16
 TEMPER = 0.1
 #: Pseudo-rows with which a domain's or the corpus's distribution enters that of a host or domain.
 SMOOTHING = 20.0
+_AT_ONCE = 1 << 18
 _FLOOR = 0.1  # share of the uniform distribution in a language's trigrams
-_SPACES = np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.int64)
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint32)
 
 
 def trigram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of all byte trigrams of all texts, how many each text has); A-Z lower-cased, a space added at both ends."""
-    joined = np.frombuffer(b"  ".join([b"", *texts, b""]), np.uint8)
-    low = _SPACES[joined]
-    code = (low[:-2] << 16) + (low[1:-1] << 8) + low[2:]
-    mixed = code * 0x9E3779B1 & 0xFFFFFFFF
-    bucket = (mixed >> 16).astype(np.int64)
+    low = _LOWER[np.frombuffer(b"  ".join([b"", *texts, b""]), np.uint8)]
+    code = (low[:-2] << np.uint32(16)) + (low[1:-1] << np.uint32(8)) + low[2:]
+    bucket = (code * np.uint32(0x9E3779B1)) >> np.uint32(16)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     # a text's stretch has two trigrams too many: the first begins with both spaces before it, the last ends with both after it
     starts = np.cumsum(np.r_[0, sizes[:-1] + 2]) if len(sizes) else np.empty(0, np.int64)
@@ -50,8 +49,10 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, labels = as_bytes(batch.column(1)), batch.column(0).to_pylist()
         for label in sorted(set(labels)):
-            bucket, _ = trigram_buckets([t for t, x in zip(texts, labels, strict=True) if x == label])
-            found, n = np.unique(bucket, return_counts=True)
+            own = [t for t, x in zip(texts, labels, strict=True) if x == label]
+            counts = sum(np.bincount(trigram_buckets([own[k] for k in g])[0], minlength=BUCKETS) for g in _groups(own))
+            found = np.flatnonzero(counts)
+            n = counts[found]
             yield pa.RecordBatch.from_arrays([pa.array([label] * len(found), pa.string()), pa.array(found), pa.array(n)], ["lang", "bucket", "n"])
 
 
@@ -73,16 +74,29 @@ def fit_text_model(labelled: DataFrame, label: str = "lang", text: str = "text",
     return np.log((1 - _FLOOR) * share_of + _FLOOR / BUCKETS).astype(np.float32)
 
 
+def _groups(texts: list[bytes]) -> Iterator[list[int]]:
+    """Numbers of texts that are looked at together: some hundred thousand bytes, or one long text."""
+    group, size = [], 0
+    for k, t in enumerate(texts):
+        group.append(k)
+        size += len(t)
+        if size > _AT_ONCE:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def text_evidence(texts: list[bytes], model: np.ndarray) -> np.ndarray:
     """Tempered log likelihoods (text, language + 1)."""
     out = np.zeros((len(texts), model.shape[1]))
-    bucket, sizes = trigram_buckets(texts)
-    step, at = 1 << 20, 0
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    for at in range(0, len(bucket), step):
-        own, values = owner[at : at + step], model[bucket[at : at + step]]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        out[own[first]] += np.add.reduceat(values, first, axis=0, dtype=np.float64)
+    for group in _groups(texts):
+        bucket, sizes = trigram_buckets([texts[k] for k in group])
+        owner = np.repeat(np.array(group), sizes)
+        for at in range(0, len(bucket), _AT_ONCE):
+            own = owner[at : at + _AT_ONCE]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            out[own[first]] += np.add.reduceat(model[bucket[at : at + _AT_ONCE]], first, axis=0, dtype=np.float64)
     return TEMPER * out
 
 
