@@ -65,11 +65,11 @@ class Scorer:
         if self.index is None:
             self.index = {w: k for k, w in enumerate(self.words)}
         get = self.index.get
-        return np.array([get(w, -1) for w in words], np.int64)
+        return np.array([get(w, -1) for w in words], np.int32)
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         model = self.model
-        return np.append(np.where((codes >= 0) & (codes < model.n_words), codes, model.other), model.end)
+        return np.append(np.where((codes >= 0) & (codes < model.n_words), codes, model.other), model.end).astype(np.int32)
 
 
 _SCORED = "row_no long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, base_logs double, model_logs double, missing array<string>"
