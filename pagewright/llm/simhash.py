@@ -49,8 +49,8 @@ def fingerprint(raw: bytes) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.array([fingerprint(x) for x in as_bytes(batch.column(1))], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        found = np.array([fingerprint(x) for x in as_bytes(batch.column(2))], np.uint64)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], ["doc_id", "text_no", "fp"])
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,6 +114,21 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield of(*keep)
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_no (a hash of the text), fp, component_id, root (the component's smallest fingerprint) of every row."""
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_no"), F.col(text_col).alias("text"))
+    rows = store(named.mapInArrow(_fingerprints, "doc_id long, text_no long, fp long"), "simhash_rows")
+    kinds = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash_kinds")
+    lists = kinds.select("fp").mapInArrow(_listed, "list long, fp long").repartition("list").sortWithinPartitions("list", "fp")
+    labels = store(components(store(lists.mapInArrow(_links, "a long, b long"), "simhash_links")), "simhash_labels")
+    joined = labels.join(kinds, F.col("node") == F.col("fp")).select("node", "root", "least_id")
+    least = store(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash_least")
+    of_node = store(labels.join(least, "root").select(F.col("node").alias("fp"), "root", "component_id"), "simhash_components")
+    single = F.col("root").isNull()
+    of_kind = kinds.join(of_node, "fp", "left").select("fp", F.when(single, F.col("fp")).otherwise(F.col("root")).alias("root"), F.when(single, F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return rows.join(store(of_kind, "simhash_of_kind"), "fp").select("doc_id", "text_no", "fp", "component_id", "root")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, fp (long), component_id.
 
@@ -122,26 +137,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are linked; component_id is the smallest non-null doc_id of the component, null if there is none. Copies meet once, as one
     fingerprint; lists are worked off by a spanning forest, so no link between fingerprints is lost and no list emits its pairs.
     """
-    rows = store(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"), "simhash_rows")
-    kinds = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash_kinds")
-    lists = kinds.select("fp").mapInArrow(_listed, "list long, fp long").repartition("list").sortWithinPartitions("list", "fp")
-    labels = components(store(lists.mapInArrow(_links, "a long, b long"), "simhash_links"))
-    labels = store(labels, "simhash_labels")
-    joined = labels.join(kinds, F.col("node") == F.col("fp")).select("node", "root", "least_id")
-    least = store(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash_least")
-    of_node = store(labels.join(least, "root").select(F.col("node").alias("fp"), "component_id", F.lit(True).alias("in_component")), "simhash_components")
-    named = kinds.join(of_node, "fp", "left").select("fp", F.when(F.col("in_component"), F.col("component_id")).otherwise(F.col("least_id")).alias("component_id"))
-    return rows.join(store(named, "simhash_named"), "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs, id_col, text_col).select("doc_id", "fp", "component_id")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component, that of the smallest id; rows that repeat it: one of them, the same on reruns."""
-    found = near_groups(docs, id_col, text_col)
-    others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    same = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count().where("count > 1").select("doc_id")
-    gone = store(others.select(F.col("doc_id").alias("pw_id"), F.lit(False).alias("pw_again")).unionByName(same.select(F.col("doc_id").alias("pw_id"), F.lit(True).alias("pw_again"))), "simhash_gone")
-    at = docs[id_col].eqNullSafe(gone["pw_id"])
+    """docs with one document of each component, that of the smallest id, null being largest.
+
+    Of different texts under that id, the one with the smaller hash stays; of rows that repeat it, one, the same on reruns.
+    """
+    found = store(_grouped(docs, id_col, text_col), "simhash_found")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    tops = found.where(first).groupBy("root").agg(F.count("*").alias("n"), F.min("text_no").alias("stay_no")).where("n > 1")
+    several = store(found.where(first).join(tops, "root").select("doc_id", "text_no", (F.col("text_no") == F.col("stay_no")).alias("again")), "simhash_several")
+    gone = found.where(~first).select("doc_id", "text_no", F.lit(False).alias("again")).unionByName(several).distinct()
+    gone = store(gone.select(F.col("doc_id").alias("pw_id"), F.col("text_no").alias("pw_no"), F.col("again").alias("pw_again")), "simhash_gone")
+    at = docs[id_col].eqNullSafe(gone["pw_id"]) & (F.xxhash64(docs[text_col]) == gone["pw_no"])
     once = docs.join(gone, at, "left_anti")
     again = docs.join(gone.where("pw_again"), at, "left_semi")
-    first = again.groupBy(id_col).agg(F.min(F.struct(F.xxhash64(*docs.columns), *docs.columns)).alias("pw_first")).select(*[F.col(f"pw_first.`{c}`").alias(c) for c in docs.columns])
-    return once.unionByName(first)
+    one = again.groupBy(id_col, F.xxhash64(text_col).alias("pw_no")).agg(F.min(F.struct(F.xxhash64(*docs.columns), *docs.columns)).alias("pw_first"))
+    return once.unionByName(one.select(*[F.col(f"pw_first.`{c}`").alias(c) for c in docs.columns]))
