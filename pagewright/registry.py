@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import evidence, labels, layout, ownership, review, sources, tables
+from .plans import evidence, labels, layout, ownership, review, sources, structure, tables
 
-_PLANS = (evidence, ownership, layout, labels, tables, review, sources)
+_PLANS = (evidence, ownership, layout, labels, tables, structure, review, sources)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for plan in _PLANS for name, f in plan.QUERIES.items()}
 #: Folds and sequence matching are beyond SQL; those queries are held against small worked cases in the tests.
