@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .scratch import as_bytes, store
 
 RUN_SENTENCES, RUN_WORDS, LONG_WORDS, CUT_ONE_IN, SEED = 3, 20, 16, 5, 7
-_SENTENCE = re.compile(rb"[^\n]*?(?:[.!?](?=\s)|\n|\Z)", re.S)
+_SENTENCE = re.compile(rb"[^\n.!?]+(?:[.!?]+(?!\s|\Z)[^\n.!?]*)*[.!?]*|[.!?]+")
 _SPACED = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -27,8 +27,6 @@ def sentences(raw: bytes) -> list[tuple[int, int, int, int]]:
     """(begin, end, words, hash) in bytes, of all sentences that have a word; a sentence reaches to its last word's end."""
     out, digest = [], xxhash.xxh64_intdigest
     for m in _SENTENCE.finditer(raw):
-        if m.end() == m.start():
-            continue
         words = m[0].lower().split()
         if not words:
             continue
@@ -64,63 +62,64 @@ def runs(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_no, run, first, length of the first occurrence of each run in a text; again: the text has it again later."""
+    """doc_id, text_no, run, first, length of every run of a text; again: the same text has the run further up."""
     for batch in batches:
-        rows, hashes, firsts, lengths = [], [], [], []
+        rows, hashes, firsts, lengths, again = [], [], [], [], []
         for row, raw in enumerate(as_bytes(batch.column(2))):
-            seen = set()
-            for first, length, h in runs(sentences(raw)):
-                if h not in seen:
-                    seen.add(h)
-                    rows.append(row)
-                    hashes.append(h)
-                    firsts.append(first)
-                    lengths.append(length)
+            found = runs(sentences(raw))
+            if not found:
+                continue
+            first, length, run = zip(*found, strict=True)
+            seen: set[int] = set()
+            again += [h in seen or bool(seen.add(h)) for h in run]
+            rows += [row] * len(run)
+            hashes += run
+            firsts += first
+            lengths += length
         at = pa.array(rows, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(hashes, pa.int64()), pa.array(firsts, pa.int32()), pa.array(lengths, pa.int32())], ["doc_id", "text_no", "run", "first", "length"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(hashes, pa.int64()), pa.array(firsts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(again, pa.bool_())],
+            ["doc_id", "text_no", "run", "first", "length", "again"],
+        )
+
+
+def without(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int, list[dict[str, int]]]:
+    """(text without the sentences of the spans (first, length), sentences removed, their words, stretches removed in code points).
+
+    The white space after a removed stretch goes with it.
+    """
+    found = sentences(raw)
+    gone = bytearray(len(found))
+    for first, length in spans:
+        gone[first : first + length] = b"\1" * length
+    parts, cut, at, k = [], [], 0, 0
+    while k < len(found):
+        begin = k
+        while k < len(found) and gone[k]:
+            k += 1
+        if k > begin:
+            parts.append(raw[at : found[begin][0]])
+            cut.append({"begin": len(raw[: found[begin][0]].decode()), "end": len(raw[: found[k - 1][1]].decode())})
+            at = found[k][0] if k < len(found) else len(raw)
+        else:
+            k += 1
+    parts.append(raw[at:])
+    return b"".join(parts), sum(gone), sum(x[2] for x, g in zip(found, gone, strict=True) if g), cut
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text without the covered sentences, n_sentences, n_removed, removed_words, spans (code points of the text)."""
     for batch in batches:
-        texts, totals, counts, words, spans = [], [], [], [], []
-        for raw, known in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-            found = sentences(raw)
-            gone = bytearray(len(found))
-            for x in known or ():
-                gone[x["first"] : x["first"] + x["length"]] = b"\1" * x["length"]
-            seen: set[int] = set()
-            for first, length, h in runs(found):
-                if h in seen:
-                    gone[first : first + length] = b"\1" * length
-                seen.add(h)
-            parts, at, cut, k = [], 0, [], 0
-            while k < len(found):
-                if not gone[k]:
-                    k += 1
-                    continue
-                begin = k
-                while k < len(found) and gone[k]:
-                    k += 1
-                # the white space after a removed stretch goes with it
-                end = found[k][0] if k < len(found) else len(raw)
-                parts.append(raw[at : found[begin][0]])
-                cut.append((len(raw[: found[begin][0]].decode()), len(raw[: found[k - 1][1]].decode())))
-                at = end
-            parts.append(raw[at:])
-            texts.append(b"".join(parts))
-            totals.append(len(found))
-            counts.append(sum(gone))
-            words.append(sum(x[2] for x, g in zip(found, gone, strict=True) if g))
-            spans.append([{"begin": a, "end": b} for a, b in cut])
+        known = batch.column(2).to_pylist()
+        done = [without(raw, [(x["first"], x["length"]) for x in gone]) if gone else (raw, 0, 0, []) for raw, gone in zip(as_bytes(batch.column(1)), known, strict=True)]
+        texts, counts, words, spans = zip(*done, strict=True) if done else ([], [], [], [])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(totals, pa.int64()), pa.array(counts, pa.int64()), pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
-            ["doc_id", "text", "n_sentences", "n_removed", "removed_words", "spans"],
+            [batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
+            ["doc_id", "text", "n_removed", "removed_words", "spans"],
         )
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, text (what stays), n_sentences, n_removed, removed_words, spans array<struct<begin, end>>.
+    """One row per row of docs: doc_id, text (what stays), n_removed (sentences), removed_words, spans array<struct<begin, end>>.
 
     A run's first occurrence is that of the smallest doc_id, null being last, in it the first place. It stays; every other occurrence,
     also one further on in the same text, is removed with all its sentences. A row's doc_id and text are its name: rows that repeat both
@@ -129,19 +128,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_no"), text.alias("text"))
-    spans = named.mapInArrow(_spans, "doc_id long, text_no long, run long, first int, length int")
+    spans = named.mapInArrow(_spans, "doc_id long, text_no long, run long, first int, length int, again boolean")
     # Plain longs, so copies of a run meet in hash maps before the shuffle. A null id is after all others.
     order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
     least = spans.groupBy("run").agg(F.min(order).alias("first_doc"), F.max(order).alias("last_doc"), F.min("text_no").alias("least_no"), F.max("text_no").alias("most_no"))
     repeated = store(least.where("first_doc < last_doc or least_no < most_no").select("run", "first_doc"), "substring_runs")
-    met = spans.withColumn("order", order).join(repeated, "run")
-    covered = store(met.select("run", "doc_id", "text_no", "first", "length", "order", "first_doc"), "substring_met")
+    met = spans.withColumn("order", order).join(repeated, "run", "left").where("again or first_doc is not null")
+    covered = store(met.select("run", "doc_id", "text_no", "first", "length", "again", "order", "first_doc"), "substring_met")
     # Different texts that share the run's smallest id: the smaller hash comes first.
-    firsts = covered.where("order = first_doc").groupBy("run").agg(F.min("text_no").alias("first_no"), F.max("text_no").alias("last_no"))
-    firsts = store(firsts.where("first_no < last_no"), "substring_same")
-    tied = covered.where("order = first_doc").join(firsts, "run").where("text_no > first_no").select("doc_id", "text_no", "first", "length")
-    gone = covered.where("order > first_doc").select("doc_id", "text_no", "first", "length").unionByName(tied).distinct()
+    tied = covered.where("order = first_doc")
+    firsts = tied.groupBy("run").agg(F.min("text_no").alias("first_no"), F.max("text_no").alias("last_no"))
+    tied = tied.join(store(firsts.where("first_no < last_no"), "substring_same"), "run").where("text_no > first_no")
+    kinds = ("doc_id", "text_no", "first", "length")
+    gone = covered.where("again or order > first_doc").select(*kinds).unionByName(tied.select(*kinds)).distinct()
     per_text = gone.groupBy("doc_id", "text_no").agg(F.collect_list(F.struct("first", "length")).alias("gone"))
     per_text = store(per_text.withColumnsRenamed({"doc_id": "of_id", "text_no": "of_no"}), "substring_gone")
     joined = named.join(per_text, (F.col("text_no") == F.col("of_no")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left").select("doc_id", "text", "gone")
-    return joined.mapInArrow(_removed, "doc_id long, text string, n_sentences long, n_removed long, removed_words long, spans array<struct<begin: long, end: long>>")
+    return joined.mapInArrow(_removed, "doc_id long, text string, n_removed long, removed_words long, spans array<struct<begin: long, end: long>>")
