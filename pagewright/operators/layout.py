@@ -118,7 +118,8 @@ def novel_blocks(visual: DataFrame, structured: DataFrame, key: str = "block_id"
     x, y = F.col("x"), F.col("y")
     geometry = (x >= 0.95) & (y >= 0.95) & (F.least(known_area, own_area) / F.greatest(known_area, own_area) >= 0.75)
     present = (F.col("said") != "") & (F.col("known") != "") & F.contains("known", "said")
-    noisy = (x >= 0.9) & (y >= 0.9) & (F.length("said") >= 8) & (there("said", "known") >= 0.8) & ((there("known", "said") >= 0.8) | (there("said", "known") >= 0.85))
+    met = met.withColumn("c1", F.when((x >= 0.9) & (y >= 0.9) & (F.length("said") >= 8), there("said", "known"))).withColumn("c2", F.when((F.col("c1") >= 0.8) & (F.col("c1") < 0.85), there("known", "said")))
+    noisy = F.coalesce((F.col("c1") >= 0.85) | (F.col("c2") >= 0.8), F.lit(False))
     enclosed = (G.intersection(a, b) / known_area >= 0.8) & (F.col("known") != "")
     per = met.groupBy(*PAGE, key).agg(F.max(geometry | present | noisy).alias("pair"), F.count_if(enclosed).alias("inside"), F.array_join(F.collect_list(F.when(enclosed, F.col("known"))), "").alias("all_known"))
     joined = visual.join(per, [*PAGE, key], "left")
