@@ -64,8 +64,11 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     keyed = docs.withColumn(spare, F.sha2(ascii_lower(F.col(text_col)), 256))
     at = (keyed[spare] == decided["pw_key"]) & keyed[id_col].eqNullSafe(decided["pw_id"])
-    gone = decided.where("not stays or copies > 1")
-    once = keyed.join(gone, at, "left_anti").select(names)
+    # What goes grows with the input, so texts are shuffled, once, at any size: the plan doesn't change as tables grow.
+    once = keyed.join(decided.where("not stays or copies > 1").hint("merge"), at, "left_anti").select(names)
+    repeated = decided.where("stays and copies > 1")
+    if repeated.isEmpty():
+        return once
     # A stayer whose row is repeated: one of its identical rows stays.
-    again = keyed.join(decided.where("stays and copies > 1"), at, "left_semi").dropDuplicates([id_col, spare]).select(names)
+    again = keyed.join(repeated, at, "left_semi").dropDuplicates([id_col, spare]).select(names)
     return once.unionByName(again)

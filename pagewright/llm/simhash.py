@@ -153,6 +153,8 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     gone = store(gone.select(F.col("doc_id").alias("pw_id"), F.col("text_no").alias("pw_no"), F.col("again").alias("pw_again")), "simhash_gone")
     at = docs[id_col].eqNullSafe(gone["pw_id"]) & (F.xxhash64(docs[text_col]) == gone["pw_no"])
     once = docs.join(gone, at, "left_anti")
+    if gone.where("pw_again").isEmpty():
+        return once
     again = docs.join(gone.where("pw_again"), at, "left_semi")
     one = again.groupBy(id_col, F.xxhash64(text_col).alias("pw_no")).agg(F.min(F.struct(F.xxhash64(*docs.columns), *docs.columns)).alias("pw_first"))
     return once.unionByName(one.select(*[F.col(f"pw_first.`{c}`").alias(c) for c in docs.columns]))
