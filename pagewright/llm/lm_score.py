@@ -25,6 +25,8 @@ MODEL_WORDS, SENT_WORDS = 4096, 1 << 18
 FIT_DOCS = 1024
 #: A task passes its counts on when it holds so many words.
 _HELD_WORDS = 1 << 19
+#: Steps of the scale of counts per doubling.
+_STEPS = 64
 HELD_OUT = (7, 2)
 
 
@@ -119,10 +121,20 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = training.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = store(counts.where("n > 0"), "lm_counts")
     n, v = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
-    top = counts.orderBy(F.col("n").desc(), "word").limit(SENT_WORDS + 1).collect()  # bounded, whatever the vocabulary
-    n_ends = next((r["n"] for r in top if r["word"] == ""), 0) or int(counts.where("word = ''").agg(F.sum("n")).first()[0] or 0)
-    top = [r for r in top if r["word"] != ""][:SENT_WORDS]
-    words, numbers = [r["word"].encode() for r in top], np.array([r["n"] for r in top], np.float64)
+    # Words by a fine scale of their counts: the scale has a few thousand steps whatever the vocabulary, and as many of its upper steps are
+    # sent as hold SENT_WORDS words at most. So each word comes to the driver once, and no task sorts or sends its own best.
+    step = F.floor(F.log2("n") * _STEPS)
+    words_only = counts.where("word <> ''")
+    held, least = 0, 0
+    for r in sorted(words_only.groupBy(step.alias("step")).count().collect(), reverse=True):
+        if held + r["count"] > SENT_WORDS:
+            least = r["step"] + 1
+            break
+        held += r["count"]
+    sent = words_only.where(step >= least).toArrow()
+    order = sorted(zip(sent["n"].to_pylist(), as_bytes(sent["word"].combine_chunks()), strict=True), key=lambda r: (-r[0], r[1]))
+    n_ends = int(counts.where("word = ''").agg(F.sum("n")).first()[0] or 0)
+    words, numbers = [w for _, w in order], np.array([k for k, _ in order], np.float64)
     m = min(MODEL_WORDS, len(words))
     n_other, v_other = n - n_ends - int(numbers[:m].sum()), max(0, v - m - 1)
     scorer = Scorer(words, numbers, n_ends, (n, v), gru.start(numbers[:m], n_other, n_ends))
@@ -135,7 +147,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = store(slim.mapInArrow(_scored(spark.sparkContext.broadcast(scorer)), _SCORED), "lm_rows")
     rare = rows.select("row_no", F.explode("missing").alias("word"))
-    rest = counts.where(F.col("n") <= (int(numbers[-1]) if len(words) == SENT_WORDS else -1))  # no other word can be missing
+    rest = words_only.where(step < least)  # no other word can be missing
     found = rare.join(rest, "word").groupBy("row_no").agg(F.sum(F.log10(F.col("n") + 1.0)).alias("logs"), F.count("*").alias("found"))
     out = rows.drop("missing").join(found, "row_no", "left")
     logs = F.coalesce("logs", F.lit(0.0))
