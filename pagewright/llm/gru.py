@@ -6,12 +6,14 @@ CLASS_WORDS; two more classes hold one symbol each, `other` (any other word) and
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
 
 CLASS_WORDS, STATE, STEPS = 64, 32, 32
 _GROUP = 1024  # texts that are scored side by side
+_CHUNK = 1 << 18  # symbols that are laid out side by side to be learned from
 
 
 @dataclass
@@ -173,35 +175,71 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
         d_x[t] = np.concatenate([d_z, d_r, d_n], axis=1)
         grads["u"] += before.T @ d_u
         d_h = np.where((source[:, t] == model.end)[:, None], np.float32(0), d_h * z + d_u @ model.u.T)
-    np.add.at(grads["w"], source.T.ravel(), d_x.reshape(-1, 3 * STATE))
+    inputs = source.T.ravel()
+    order = np.argsort(inputs, kind="stable")
+    begins = np.flatnonzero(np.diff(inputs[order], prepend=-1))
+    grads["w"][inputs[order][begins]] = np.add.reduceat(d_x.reshape(-1, 3 * STATE)[order], begins)
     return h, grads, loss / len(symbols)
 
 
-def fit(model: Gru, texts: list[np.ndarray], epochs: int = 2, rows: int = 128, rate: float = 0.01, clip: float = 1.0) -> list[float]:
-    """Adam over windows of STEPS symbols of `rows` parallel streams of texts; the mean loss of each epoch. Same texts, same model."""
-    stream = np.concatenate([[model.end], *texts]) if texts else np.array([model.end])
-    rows = max(1, min(rows, (len(stream) - 1) // (4 * STEPS)))
-    length = (len(stream) - 1) // rows
-    if length < 1:
-        return []
-    source = stream[: rows * length].reshape(rows, length)
-    target = stream[1 : rows * length + 1].reshape(rows, length)
+def fit(model: Gru, texts: Iterable[np.ndarray], rows: int = 128, rate: float = 0.01, clip: float = 1.0) -> tuple[int, float]:
+    """One pass of Adam over windows of STEPS symbols of `rows` parallel streams of texts: (symbols, mean loss). Same texts, same model.
+
+    Texts are taken as they come, _CHUNK symbols at a time, so there can be any number of them; every symbol is a target once.
+    """
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.weights().items()}
-    losses, n = [], 0
-    windows = range(0, length, STEPS)
-    for epoch in range(epochs):
-        h, seen = np.zeros((rows, STATE), np.float32), []
-        for at in windows:
-            h, grads, loss = _backward(model, h, source[:, at : at + STEPS], target[:, at : at + STEPS])
-            seen.append(loss)
-            norm = float(np.sqrt(sum(float((g * g).sum()) for g in grads.values())))
-            n += 1
-            slow = rate * (1 - (epoch * len(windows) + at // STEPS) / (epochs * len(windows)))
+    n, seen, loss, full = 0, 0, 0.0, 1
+
+    def train(stream: np.ndarray) -> np.ndarray:
+        """Trains on the stream's symbols after the first; what is left of it, under a symbol for each row."""
+        nonlocal n, seen, loss, full
+        across = max(1, min(rows, (len(stream) - 1) // (4 * STEPS)))
+        length = (len(stream) - 1) // across
+        source, target = (stream[k : across * length + k].reshape(across, length) for k in (0, 1))
+        h = np.zeros((across, STATE), np.float32)
+        for at in range(0, length, STEPS):
+            h, grads, mean = _backward(model, h, source[:, at : at + STEPS], target[:, at : at + STEPS])
+            size = across * min(STEPS, length - at)
+            n, seen, loss, full = n + 1, seen + size, loss + mean * size, max(full, size)
+            norm = float(np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values())))
+            scale = np.float32(size / full * min(1.0, clip / (norm + 1e-12)))  # a short window counts by its symbols
             for k, g in grads.items():
-                g *= np.float32(min(1.0, clip / (norm + 1e-12)))
+                g *= scale
                 m, s = moments[k]
-                m += np.float32(0.1) * (g - m)
-                s += np.float32(0.01) * (g * g - s)
-                getattr(model, k)[...] -= np.float32(slow) * (m / np.float32(1 - 0.9**n)) / (np.sqrt(s / np.float32(1 - 0.99**n)) + np.float32(1e-8))
-        losses.append(float(np.mean(seen)))
-    return losses
+                m *= np.float32(0.9)
+                m += np.float32(0.1) * g
+                s *= np.float32(0.99)
+                g *= g
+                g *= np.float32(0.01)
+                s += g
+                np.sqrt(s, out=g)
+                g *= np.float32((1 - 0.99**n) ** -0.5)
+                g += np.float32(1e-8)
+                np.divide(m, g, out=g)
+                g *= np.float32(rate / (1 - 0.9**n))
+                getattr(model, k)[...] -= g
+        return stream[across * length :]
+
+    held, size = [np.array([model.end])], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= _CHUNK:
+            rest = train(np.concatenate(held))
+            held, size = [rest], len(rest) - 1
+    rest = np.concatenate(held)
+    while len(rest) > 1:
+        rest = train(rest)
+    return seen, loss / max(1, seen)
+
+
+def to_vector(model: Gru) -> np.ndarray:
+    return np.concatenate([v.ravel() for v in model.weights().values()])
+
+
+def from_vector(model: Gru, vector: np.ndarray) -> Gru:
+    """A model of the same form with these weights."""
+    parts, at = {}, 0
+    for k, v in model.weights().items():
+        parts[k], at = vector[at : at + v.size].reshape(v.shape).astype(np.float32), at + v.size
+    return Gru(model.n_words, **parts)

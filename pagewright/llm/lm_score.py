@@ -1,7 +1,8 @@
 """Language-model scoring of whole texts: corpus-wide word counts, a recurrent model over frequent words, counts for all others.
 
 Counts cover every training document. The most frequent words go to all tasks (a bounded table); the others are met by a
-join of the words with their counts. The recurrent weights, and only they, are fitted on a bounded sample of training documents.
+join of the words with their counts. The recurrent weights are fitted on every training document too: in each round every task goes
+over its documents once from the weights of the round before, and the tasks' weights are averaged by their numbers of symbols.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from .scratch import as_bytes, store
 
 #: Words of the recurrent model, and words whose counts are sent to all tasks.
 MODEL_WORDS, SENT_WORDS = 4096, 1 << 18
-#: Bound on the documents that the recurrent weights are fitted on, as the expected size of a hash-chosen sample.
-FIT_DOCS = 1024
+#: Rate of the first round, and the pieces that a task's weights are passed on in: a task that averages holds pieces, not models.
+RATE, PIECES = 0.01, 256
 #: A task passes its counts on when it holds so many words.
 _HELD_WORDS = 1 << 19
 #: Steps of the scale of counts per doubling.
@@ -74,6 +75,59 @@ class Scorer:
         return np.append(np.where((codes >= 0) & (codes < model.n_words), codes, model.other), model.end).astype(np.int32)
 
 
+def _symbols(sent):
+    """The training texts as symbols of the model, two bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, other, end = sent.value
+        get = {w: k for k, w in enumerate(words)}.get
+        for batch in batches:
+            texts = [np.array([*(get(w, other) for w in words_of(raw)), end], "<u2").tobytes() for raw in as_bytes(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["symbols"])
+
+    return run
+
+
+def _fitted(sent, rate: float):
+    """A task's weights after a pass over its texts, in pieces, with the number of its symbols."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = gru.from_vector(sent.value, gru.to_vector(sent.value))
+        n, _ = gru.fit(model, (np.frombuffer(x, "<u2").astype(np.int64) for batch in batches for x in batch.column(0).to_pylist()), rate=rate)
+        if n:
+            pieces = [x.astype("<f4").tobytes() for x in np.array_split(gru.to_vector(model), PIECES)]
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(PIECES), pa.int32()), pa.array([part] * PIECES, pa.int32()), pa.array([n] * PIECES, pa.int64()), pa.array(pieces, pa.binary())], ["piece", "part", "n", "weights"]
+            )
+
+    return run
+
+
+def _averaged(rows: pa.Table) -> pa.Table:
+    """The mean of a piece over all tasks, in the order of the tasks."""
+    rows = rows.sort_by("part")
+    total, n = 0.0, 0
+    for k, raw in zip(rows["n"].to_pylist(), rows["weights"].to_pylist(), strict=True):
+        total, n = total + k * np.frombuffer(raw, "<f4").astype(np.float64), n + k
+    return pa.table({"piece": rows["piece"][:1], "weights": pa.array([(total / n).astype("<f4").tobytes()], pa.binary())})
+
+
+def fit_all(training: DataFrame, model: gru.Gru, words: list[bytes], epochs: int) -> gru.Gru:
+    """The model after `epochs` rounds over all texts, the only column of training; the rate falls from round to round.
+
+    The driver gets one model a round, whatever the number of tasks.
+    """
+    context = training.sparkSession.sparkContext
+    texts = store(training.mapInArrow(_symbols(context.broadcast((words[: model.n_words], model.other, model.end))), "symbols binary"), "lm_symbols")
+    for epoch in range(epochs):
+        parts = texts.mapInArrow(_fitted(context.broadcast(model), RATE * (1 - epoch / epochs)), "piece int, part int, n long, weights binary")
+        means = parts.groupBy("piece").applyInArrow(_averaged, "piece int, weights binary").collect()
+        if means:  # else there are no training rows
+            model = gru.from_vector(model, np.concatenate([np.frombuffer(r["weights"], "<f4") for r in sorted(means)]))
+    return model
+
+
 _SCORED = "row_no long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, base_logs double, model_logs double, missing array<string>"
 
 
@@ -107,7 +161,7 @@ def _scored(sent) -> object:
     return run
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS, epochs: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", epochs: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs.
 
     Whole texts, null as empty: words lower-cased in A-Z between ASCII white space, then an end. base_score is the add-one unigram log10
@@ -117,8 +171,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    training = slim.where("not held_out").select("text", "doc_id")
-    counts = training.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    training = slim.where("not held_out").select("text")
+    counts = training.mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = store(counts.where("n > 0"), "lm_counts")
     n, v = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
     # Words by a fine scale of their counts: the scale has a few thousand steps whatever the vocabulary, and as many of its upper steps are
@@ -137,13 +191,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words, numbers = [w for _, w in order], np.array([k for k, _ in order], np.float64)
     m = min(MODEL_WORDS, len(words))
     n_other, v_other = n - n_ends - int(numbers[:m].sum()), max(0, v - m - 1)
-    scorer = Scorer(words, numbers, n_ends, (n, v), gru.start(numbers[:m], n_other, n_ends))
-
-    share = fit_docs / max(fit_docs, n_ends)
-    chosen = training.where(F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") < share * 2.0**32)
-    sample = sorted(((r["doc_id"] or 0, r["text"] or "") for r in chosen.collect()))  # about fit_docs rows at most
-    gru.fit(scorer.model, [scorer.symbols(scorer.codes(words_of(t.encode()))) for _, t in sample], epochs)
-    scorer.index = None
+    model = fit_all(training, gru.start(numbers[:m], n_other, n_ends), words, epochs)
+    scorer = Scorer(words, numbers, n_ends, (n, v), model)
 
     rows = store(slim.mapInArrow(_scored(spark.sparkContext.broadcast(scorer)), _SCORED), "lm_rows")
     rare = rows.select("row_no", F.explode("missing").alias("word"))

@@ -252,3 +252,26 @@ def test_lm_scores(spark, monkeypatch, small):
     out = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out) and all(r["score"] < 0 for r in got)
     assert lm_score.score_documents(docs.limit(0)).count() == 0
+
+
+def test_every_symbol_is_learned_from(monkeypatch):
+    monkeypatch.setattr(gru, "_CHUNK", 3000)
+    model = gru.start(np.array([9.0, 5, 3]), 7.0, 4.0)
+    texts = [np.append(np.arange(n) % 3, model.end) for n in (0, 1, 700, 2500, 40, 3333)]
+    n, first = gru.fit(model, texts)
+    assert n == sum(map(len, texts)) and gru.fit(model, texts)[1] < first
+
+
+def test_model_learns_from_every_training_document(spark):
+    """The order of words in documents beyond a sample of 1,024 (by md5, as it once was) changes scores; the counts are the same."""
+    words, n = "one two three four five six seven eight".split(), 3000
+    train = [k for k in range(n) if zlib.crc32(str(k).encode()) % 7 != 2]
+    beyond = {k for k in train if int(hashlib.md5(str(k).encode()).hexdigest()[:8], 16) >= 1024 / len(train) * 2.0**32}
+    assert len(beyond) > 1000
+    scores = []
+    for turned in (False, True):
+        rows = [(k, " ".join(words[::-1] if turned and k in beyond else words)) for k in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+        got = lm_score.score_documents(df, epochs=1).where("held_out").collect()
+        scores.append({r["doc_id"]: (r["base_score"], r["score"]) for r in got})
+    assert all(scores[0][k][0] == pytest.approx(scores[1][k][0]) and scores[0][k][1] > scores[1][k][1] + 0.01 for k in scores[0])
