@@ -51,3 +51,9 @@ def test_page_joins_are_hash_or_sort_joins_not_nested_loops(spark, small):
     lines = D.lines(spark, small)
     plan = assign.with_owner(lines, D.regions(lines))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_every_word_is_in_a_row(spark, small):
+    words = D.lines(spark, small).select(F.explode(F.split("text", " ")))
+    found = registry.QUERIES["row_cluster"](spark, small)
+    assert found.count() == words.count() == found.select("doc_id", "page_no", "i").distinct().count()
