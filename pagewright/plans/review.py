@@ -77,10 +77,10 @@ def structure_corroboration(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_repartition(spark: SparkSession, folder: str) -> DataFrame:
-    """First lines of pages as nodes declared on page 1."""
+    """Lines as nodes declared on page 1."""
     lines = D.lines(spark, folder)
     pages = lines.groupBy("doc_id", "page_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda s: s["text"]), "\n").alias("text"))
-    return align.place_on_pages(lines.where("i % 40 in (0, 17)").select("doc_id", F.col("i").alias("pos"), F.lit(1).cast("long").alias("declared"), "text"), pages)
+    return align.place_on_pages(lines.select("doc_id", F.col("i").alias("pos"), F.lit(1).cast("long").alias("declared"), "text"), pages)
 
 
 def digital_anchoring(spark: SparkSession, folder: str) -> DataFrame:

@@ -57,3 +57,9 @@ def test_every_word_is_in_a_row(spark, small):
     words = D.lines(spark, small).select(F.explode(F.split("text", " ")))
     found = registry.QUERIES["row_cluster"](spark, small)
     assert found.count() == words.count() == found.select("doc_id", "page_no", "i").distinct().count()
+
+
+def test_every_line_is_placed_on_a_page(spark, small):
+    lines = D.lines(spark, small)
+    found = registry.QUERIES["page_repartition"](spark, small)
+    assert found.select("doc_id", "pos").exceptAll(lines.select("doc_id", "i")).count() == 0 and found.count() == lines.count()
