@@ -54,7 +54,7 @@ def table_acceptance(spark: SparkSession, folder: str) -> DataFrame:
 def visual_supplements(spark: SparkSession, folder: str) -> DataFrame:
     r = _regions(spark, folder)
     blank = F.lit(None).cast("string")
-    tables = r.where("label = 'text'").select("doc_id", "page_no", F.lit("table").alias("kind"), F.col("seq").alias("pos"), F.col("region_id").alias("block_id"), "x0", "y0", "x1", "y1", F.substring("content", 1, 60).alias("content"), blank.alias("render"))
+    tables = r.where("label = 'text'").select("doc_id", "page_no", F.lit("table").alias("kind"), F.col("seq").alias("pos"), F.col("region_id").alias("block_id"), "x0", "y0", "x1", "y1", "content", blank.alias("render"))
     render = F.when(F.col("i") % 3 == 0, blank).otherwise(F.concat(F.lit("note "), F.substring("text", 1, 20)))
     visual = D.lines(spark, folder).select("doc_id", "page_no", F.lit("visual").alias("kind"), F.col("i").alias("pos"), F.format_string("v%d", "i").alias("block_id"), "x0", "y0", "x1", "y1", F.when(F.col("i") % 2 == 0, F.reverse("text")).otherwise("9999 0000").alias("content"), render.alias("render"))
     return folds.supplements(tables.unionByName(visual))

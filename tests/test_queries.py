@@ -63,3 +63,9 @@ def test_every_line_is_placed_on_a_page(spark, small):
     lines = D.lines(spark, small)
     found = registry.QUERIES["page_repartition"](spark, small)
     assert found.select("doc_id", "pos").exceptAll(lines.select("doc_id", "i")).count() == 0 and found.count() == lines.count()
+
+
+def test_supplements_see_whole_tables(spark, tmp_path):
+    spark.createDataFrame([(1, "a" * 60 + "b" * 240)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.QUERIES["visual_supplements"](spark, str(tmp_path)).collect()
+    assert [(r["block_id"], r["action"]) for r in got] == [("v0", "duplicate_dropped")]
