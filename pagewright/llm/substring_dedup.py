@@ -3,7 +3,8 @@ non-first repeated run are removed.
 
 A sentence ends at a full stop, question or exclamation mark before white space, or at a line's end. A sentence of over LONG_WORDS
 words is cut further after words chosen by their own hash, so that the same passage is cut alike wherever it stands. From every
-sentence a run goes on until it has RUN_SENTENCES sentences and RUN_WORDS words.
+sentence a run goes on until it has RUN_SENTENCES sentences and RUN_WORDS words, and to every sentence one comes from as near, so
+a repeated passage is under runs to its last sentence. A piece or two of a cut sentence are a run if they have RUN_WORDS words.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ _SENTENCE = re.compile(rb"[^\n.!?]+(?:[.!?]+(?!\s|\Z)[^\n.!?]*)*[.!?]*|[.!?]+")
 _SPACED = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def sentences(raw: bytes) -> list[tuple[int, int, int, int]]:
-    """(begin, end, words, hash) in bytes, of all sentences that have a word; a sentence reaches to its last word's end."""
+def sentences(raw: bytes) -> list[tuple[int, int, int, int, bool]]:
+    """(begin, end, words, hash, cut from a long sentence) in bytes, of all sentences that have a word; a sentence reaches to its last word's end."""
     out, digest = [], xxhash.xxh64_intdigest
     for m in _SENTENCE.finditer(raw):
         words = m[0].lower().split()
@@ -32,7 +33,7 @@ def sentences(raw: bytes) -> list[tuple[int, int, int, int]]:
             continue
         if len(words) <= LONG_WORDS:
             begin = m.start() + len(m[0]) - len(m[0].lstrip())
-            out.append((begin, m.start() + len(m[0].rstrip()), len(words), digest(b" ".join(words), SEED)))
+            out.append((begin, m.start() + len(m[0].rstrip()), len(words), digest(b" ".join(words), SEED), False))
             continue
         first, begin, end = 0, 0, 0
         for k, (word, at) in enumerate(zip(words, _SPACED.finditer(m[0]), strict=True)):
@@ -40,24 +41,36 @@ def sentences(raw: bytes) -> list[tuple[int, int, int, int]]:
                 begin = m.start() + at.start()
             end = m.start() + at.end()
             if digest(word, SEED) % CUT_ONE_IN == 0 or k == len(words) - 1:
-                out.append((begin, end, k + 1 - first, digest(b" ".join(words[first : k + 1]), SEED)))
+                out.append((begin, end, k + 1 - first, digest(b" ".join(words[first : k + 1]), SEED), True))
                 first = k + 1
     return out
 
 
-def runs(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
-    """(first sentence, number of sentences, hash as a signed long) of every run."""
-    out, end, words, digest = [], 0, 0, xxhash.xxh64_intdigest
+def runs(found: list[tuple[int, int, int, int, bool]]) -> list[tuple[int, int, int]]:
+    """(first sentence, number of sentences, hash as a signed long) of every run: the shortest from each sentence and to each, by place."""
+    digest = xxhash.xxh64_intdigest
     hashes = [x[3].to_bytes(8, "big") for x in found]
-    for k in range(len(found)):
-        while end < len(found) and (end - k < RUN_SENTENCES or words < RUN_WORDS):
-            words += found[end][2]
-            end += 1
-        if end - k < RUN_SENTENCES or words < RUN_WORDS:
-            break
-        h = digest(b"".join(hashes[k:end]), SEED)
-        out.append((k, end - k, h - (1 << 64) if h >> 63 else h))
-        words -= found[k][2]
+    sizes, cut = [x[2] for x in found], [x[4] for x in found]
+    spans, begin, words, last = [], 0, 0, -1
+    for end in range(len(found)):
+        words += sizes[end]
+        nearest = -1
+        # What is a run stays one with a sentence more, so both ends only go forward.
+        while words >= RUN_WORDS:
+            n = end + 1 - begin
+            if n < RUN_SENTENCES and n > 1 and not (cut[begin] and cut[end]) and sizes[begin] < RUN_WORDS and sizes[end] < RUN_WORDS:
+                break
+            spans.append((begin, n))  # the shortest from `begin`: it was no run up to the sentence before
+            nearest = last = begin
+            words -= sizes[begin]
+            begin += 1
+        if nearest < 0 and last >= 0:
+            spans.append((last, end + 1 - last))  # the shortest to `end`
+    spans.sort()
+    out = []
+    for k, n in spans:
+        h = digest(b"".join(hashes[k : k + n]), SEED)
+        out.append((k, n, h - (1 << 64) if h >> 63 else h))
     return out
 
 

@@ -179,3 +179,27 @@ def test_substrings_against_brute_force(spark, small):
 @pytest.mark.parametrize("work", [exact_dedup.exact_groups, exact_dedup.drop_exact, simhash.near_groups, simhash.drop_near, mixing.mixture_table, mixing.mix_documents, substring_dedup.dedup_substrings])
 def test_empty_tables(spark, work):
     assert work(table(spark, [(1, "x", "a")]).limit(0)).count() == 0
+
+
+def test_runs_start_and_end_at_every_sentence():
+    rng = random.Random(4)
+    for _ in range(300):
+        found = [(0, 0, n, rng.getrandbits(64), n > 16 or rng.random() < 0.4) for n in (rng.choice((1, 2, 4, 9, 15, 22)) for _ in range(rng.randrange(14)))]
+        size = lambda k, e: sum(x[2] for x in found[k:e])
+
+        def is_run(k, e):
+            part = found[k:e]
+            return size(k, e) >= 20 and (len(part) != 2 or all(x[4] for x in part) or max(x[2] for x in part) >= 20)
+
+        n = len(found)
+        want = {(k, next((e for e in range(k + 1, n + 1) if is_run(k, e)), None)) for k in range(n)}
+        want |= {(next((k for k in reversed(range(e)) if is_run(k, e)), None), e) for e in range(1, n + 1)}
+        assert sorted((k, e - k) for k, e in want if k is not None and e is not None) == [(k, length) for k, length, _ in substring_dedup.runs(found)]
+
+
+def test_repeats_go_to_their_last_sentence(spark):
+    passage = "The first of three has nine words in it. The second one has as many words in it. The third makes it long enough to count. A tail stays. Never."
+    plain = " ".join(f"word{k}" for k in range(55))
+    rows = [(1, f"Alpha begins. {passage} Beta ends here."), (2, f"Gamma is new. {passage} Delta is last."), (3, f"some more {plain} and others"), (4, f"quite different {plain} at its end")]
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2] == "Gamma is new. Delta is last." and got[1] == rows[0][1] and "word40" not in got[4]
