@@ -13,6 +13,7 @@ import numpy as np
 
 CLASS_WORDS, STATE, STEPS = 64, 32, 32
 _GROUP = 1024  # texts that are scored side by side
+_TOP_LOGIT, _TINY = np.float32(75), np.float32(1e-30)
 _CHUNK = 1 << 18  # symbols that are laid out side by side to be learned from
 
 
@@ -55,9 +56,11 @@ def start(counts: np.ndarray, n_other: float, n_end: float, seed: int = 0) -> Gr
     vb = np.where(np.arange(n_classes * CLASS_WORDS).reshape(by_class.shape) < n, np.log(by_class + 1e-3), -1e9)
     if not n:
         vb[0, 0] = 0.0
+    vb -= np.log(np.maximum(by_class.sum(axis=1, keepdims=True), 1.0))
     mass = np.r_[by_class.sum(axis=1), n_other, n_end]
+    mass /= max(1.0, mass.sum())
     f = lambda *shape, s=0.1: rng.normal(0, s, shape).astype(np.float32)
-    return Gru(n, f(n + 2, 3 * STATE), f(STATE, 3 * STATE, s=STATE**-0.5), f(STATE, n_classes + 2, s=0.02), np.log(mass + 1e-3).astype(np.float32), f(n_classes, STATE, CLASS_WORDS, s=0.02), vb.astype(np.float32))
+    return Gru(n, f(n + 2, 3 * STATE), f(STATE, 3 * STATE, s=STATE**-0.5), f(STATE, n_classes + 2, s=0.02), np.log(mass + 1e-9).astype(np.float32), f(n_classes, STATE, CLASS_WORDS, s=0.02), vb.astype(np.float32))
 
 
 def _class_of(model: Gru, symbols: np.ndarray) -> np.ndarray:
@@ -76,19 +79,34 @@ def step(model: Gru, h: np.ndarray, x: np.ndarray) -> np.ndarray:
     return n + gates[:, :STATE] * (h - n)
 
 
+def _by_class(model: Gru, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class of each symbol, their order by class, where each class of words begins in it)."""
+    cls = _class_of(model, symbols).astype(np.int32)
+    order = np.argsort(cls.astype(np.uint16), kind="stable")
+    return cls, order, np.searchsorted(cls[order], np.arange(len(model.v) + 1))
+
+
+def _exp(logits: np.ndarray) -> np.ndarray:
+    """exp in place. States lie in (-1, 1), so logits stay small; the bound only keeps a sum from overflowing."""
+    np.minimum(logits, _TOP_LOGIT, out=logits)
+    return np.exp(logits, out=logits)
+
+
+def _row_sums(p: np.ndarray) -> np.ndarray:
+    return p @ np.ones(p.shape[1], p.dtype)  # a matrix product, several times as fast as a sum of short rows
+
+
 def log_probs(model: Gru, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Natural logs of P(symbol | state)."""
-    cls = _class_of(model, symbols)
-    logits = h @ model.c + model.cb
-    logits -= logits.max(axis=1, keepdims=True)
-    out = logits[np.arange(len(cls)), cls] - np.log(np.exp(logits).sum(axis=1))
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(len(model.v) + 1))
+    cls, order, edges = _by_class(model, symbols)
+    p = _exp(h @ model.c + model.cb)
+    out = np.log(p[np.arange(len(cls)), cls] / _row_sums(p) + _TINY)
+    h = h[order]
     for k in np.flatnonzero(np.diff(edges)):
-        at = order[edges[k] : edges[k + 1]]
-        inner = h[at] @ model.v[k] + model.vb[k]
-        inner -= inner.max(axis=1, keepdims=True)
-        out[at] += inner[np.arange(len(at)), symbols[at] - k * CLASS_WORDS] - np.log(np.exp(inner).sum(axis=1))
+        at = slice(edges[k], edges[k + 1])
+        p = _exp(h[at] @ model.v[k] + model.vb[k])
+        own = symbols[order[at]] - k * CLASS_WORDS
+        out[order[at]] += np.log(p[np.arange(len(own)), own] / _row_sums(p) + _TINY)
     return out
 
 
@@ -126,63 +144,82 @@ def score(model: Gru, texts: list[np.ndarray]) -> np.ndarray:
 def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray], float]:
     """One window (rows, steps) of truncated backpropagation: the last state, the gradients of the mean loss, the loss."""
     rows, steps = source.shape
-    hs, saved, h = [], [], h0
+    size, kind, inputs, symbols = rows * steps, model.u.dtype, source.T.ravel(), target.T.ravel()
+    goes_on = (source.T != model.end).astype(kind)[:, :, None]  # a text begins with no state
+    xs = model.w[inputs].reshape(steps, rows, 3 * STATE)
+    before, states = np.empty((steps, rows, STATE), kind), np.empty((steps, rows, STATE), kind)
+    gates, news, ups = np.empty((steps, rows, 2 * STATE), kind), np.empty((steps, rows, STATE), kind), np.empty((steps, rows, STATE), kind)
+    h, u = h0, np.empty((rows, 3 * STATE), kind)
     for t in range(steps):
-        h = np.where((source[:, t] == model.end)[:, None], np.float32(0), h)  # a text begins with no state
-        x, u = model.w[source[:, t]], h @ model.u
-        gates = _sigmoid(x[:, : 2 * STATE] + u[:, : 2 * STATE])
-        z, r = gates[:, :STATE], gates[:, STATE:]
-        n = np.tanh(x[:, 2 * STATE :] + r * u[:, 2 * STATE :])
-        saved.append((h, z, r, n, u[:, 2 * STATE :]))
-        h = n + z * (h - n)
-        hs.append(h)
-    grads = {k: np.zeros_like(v) for k, v in model.weights().items()}
-    states, symbols = np.concatenate(hs), target.T.ravel()
-    count = np.float32(len(symbols))
-    cls = _class_of(model, symbols)
-    logits = states @ model.c + model.cb
-    logits -= logits.max(axis=1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=1, keepdims=True)
-    loss = -float(np.log(p[np.arange(len(cls)), cls] + 1e-30).sum())
-    p[np.arange(len(cls)), cls] -= 1
-    p /= count
-    grads["c"], grads["cb"] = states.T @ p, p.sum(axis=0)
+        np.multiply(h, goes_on[t], out=before[t])
+        np.matmul(before[t], model.u, out=u)
+        g, n = gates[t], news[t]
+        np.add(xs[t, :, : 2 * STATE], u[:, : 2 * STATE], out=g)
+        np.multiply(g, kind.type(0.5), out=g)  # sigmoid(x) = (1 + tanh(x / 2)) / 2
+        np.tanh(g, out=g)
+        g += kind.type(1)
+        g *= kind.type(0.5)
+        ups[t] = u[:, 2 * STATE :]
+        np.multiply(g[:, STATE:], ups[t], out=n)
+        n += xs[t, :, 2 * STATE :]
+        np.tanh(n, out=n)
+        h = states[t]
+        np.subtract(before[t], n, out=h)
+        h *= g[:, :STATE]
+        h += n
+    last, flat = h.copy(), states.reshape(size, STATE)
+
+    grads = {k: np.zeros_like(getattr(model, k)) for k in ("w", "v", "vb")}
+    cls, order, edges = _by_class(model, symbols)
+    p, at = _exp(flat @ model.c + model.cb), np.arange(size)
+    p *= (1 / _row_sums(p))[:, None]
+    loss = -float(np.log(p[at, cls] + _TINY).sum())
+    p[at, cls] -= 1
+    grads["c"], grads["cb"] = flat.T @ p, np.ones(size, kind) @ p
     d_states = p @ model.c.T
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(len(model.v) + 1))
+    by_class, own, d_own = flat[order], symbols[order], np.zeros((size, STATE), kind)
     for k in np.flatnonzero(np.diff(edges)):
-        at = order[edges[k] : edges[k + 1]]
-        inner = states[at] @ model.v[k] + model.vb[k]
-        inner -= inner.max(axis=1, keepdims=True)
-        q = np.exp(inner)
-        q /= q.sum(axis=1, keepdims=True)
-        own = symbols[at] - k * CLASS_WORDS
-        loss -= float(np.log(q[np.arange(len(at)), own] + 1e-30).sum())
-        q[np.arange(len(at)), own] -= 1
-        q /= count
-        grads["v"][k], grads["vb"][k] = states[at].T @ q, q.sum(axis=0)
-        d_states[at] += q @ model.v[k].T
+        part = slice(edges[k], edges[k + 1])
+        x = by_class[part]
+        q, at = _exp(x @ model.v[k] + model.vb[k]), np.arange(len(x))
+        q *= (1 / _row_sums(q))[:, None]
+        word = own[part] - k * CLASS_WORDS
+        loss -= float(np.log(q[at, word] + _TINY).sum())
+        q[at, word] -= 1
+        grads["v"][k], grads["vb"][k] = x.T @ q, np.ones(len(x), kind) @ q
+        d_own[part] = q @ model.v[k].T
+    d_states[order] += d_own
     d_states = d_states.reshape(steps, rows, STATE)
-    d_h, d_x = np.zeros_like(h0), np.empty((steps, rows, 3 * STATE), np.float32)
+
+    # Whatever follows from the states alone is worked out for all steps at once; the way back has only what passes from step to step.
+    z, r = gates[:, :, :STATE], gates[:, :, STATE:]
+    to_n = (1 - z) * (1 - news * news)
+    to_z = (before - news) * z * (1 - z)
+    to_r = ups * r * (1 - r)
+    d_x, d_us = np.empty((steps, rows, 3 * STATE), kind), np.empty((steps, rows, 3 * STATE), kind)
+    d_h, u_t = np.zeros((rows, STATE), kind), np.ascontiguousarray(model.u.T)
     for t in reversed(range(steps)):
-        before, z, r, n, un = saved[t]
-        d_h = d_h + d_states[t]
-        d_n = d_h * (1 - z) * (1 - n * n)
-        d_z = d_h * (before - n) * z * (1 - z)
-        d_r = d_n * un * r * (1 - r)
-        d_u = np.concatenate([d_z, d_r, d_n * r], axis=1)
-        d_x[t] = np.concatenate([d_z, d_r, d_n], axis=1)
-        grads["u"] += before.T @ d_u
-        d_h = np.where((source[:, t] == model.end)[:, None], np.float32(0), d_h * z + d_u @ model.u.T)
-    inputs = source.T.ravel()
-    order = np.argsort(inputs, kind="stable")
+        d_h += d_states[t]
+        d = d_us[t]
+        d_n = d_x[t, :, 2 * STATE :]
+        np.multiply(d_h, to_n[t], out=d_n)
+        np.multiply(d_h, to_z[t], out=d[:, :STATE])
+        np.multiply(d_n, to_r[t], out=d[:, STATE : 2 * STATE])
+        np.multiply(d_n, r[t], out=d[:, 2 * STATE :])
+        d_h *= z[t]
+        d_h += d @ u_t
+        d_h *= goes_on[t]
+    d_x[:, :, : 2 * STATE] = d_us[:, :, : 2 * STATE]
+    grads["u"] = before.reshape(size, STATE).T @ d_us.reshape(size, 3 * STATE)
+    order = np.argsort(inputs.astype(np.uint16), kind="stable")
     begins = np.flatnonzero(np.diff(inputs[order], prepend=-1))
-    grads["w"][inputs[order][begins]] = np.add.reduceat(d_x.reshape(-1, 3 * STATE)[order], begins)
-    return h, grads, loss / len(symbols)
+    grads["w"][inputs[order][begins]] = np.add.reduceat(d_x.reshape(size, 3 * STATE)[order], begins)
+    for g in grads.values():
+        g *= kind.type(1 / size)
+    return last, grads, loss / size
 
 
-def fit(model: Gru, texts: Iterable[np.ndarray], rows: int = 128, rate: float = 0.01, clip: float = 1.0) -> tuple[int, float]:
+def fit(model: Gru, texts: Iterable[np.ndarray], rows: int = 256, rate: float = 0.01, clip: float = 1.0) -> tuple[int, float]:
     """One pass of Adam over windows of STEPS symbols of `rows` parallel streams of texts: (symbols, mean loss). Same texts, same model.
 
     Texts are taken as they come, _CHUNK symbols at a time, so there can be any number of them; every symbol is a target once.

@@ -1,13 +1,15 @@
 """Language-model scoring of whole texts: corpus-wide word counts, a recurrent model over frequent words, counts for all others.
 
 Counts cover every training document. The most frequent words go to all tasks (a bounded table); the others are met by a
-join of the words with their counts. The recurrent weights are fitted on every training document too: in each round every task goes
-over its documents once from the weights of the round before, and the tasks' weights are averaged by their numbers of symbols.
+join of the words with their counts. The recurrent weights are fitted on every training document too, once each: documents are dealt
+to rounds by a hash of their symbols, in a round every task goes over its own from the weights of the round before, and the tasks'
+weights are averaged by their numbers of symbols.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,8 +24,8 @@ from .scratch import as_bytes, store
 
 #: Words of the recurrent model, and words whose counts are sent to all tasks.
 MODEL_WORDS, SENT_WORDS = 4096, 1 << 18
-#: Rate of the first round, and the pieces that a task's weights are passed on in: a task that averages holds pieces, not models.
-RATE, PIECES = 0.01, 256
+#: Rounds of averaging, the rate of the first, and the pieces that a task's weights are passed on in: a task that averages holds pieces, not models.
+ROUNDS, RATE, PIECES = 8, 0.02, 256
 #: A task passes its counts on when it holds so many words.
 _HELD_WORDS = 1 << 19
 #: Steps of the scale of counts per doubling.
@@ -75,15 +77,15 @@ class Scorer:
         return np.append(np.where((codes >= 0) & (codes < model.n_words), codes, model.other), model.end).astype(np.int32)
 
 
-def _symbols(sent):
-    """The training texts as symbols of the model, two bytes each."""
+def _symbols(sent, rounds: int):
+    """(round_no, symbols) of the training texts, symbols of the model in two bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, other, end = sent.value
         get = {w: k for k, w in enumerate(words)}.get
         for batch in batches:
             texts = [np.array([*(get(w, other) for w in words_of(raw)), end], "<u2").tobytes() for raw in as_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["symbols"])
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(x) % rounds for x in texts], pa.int32()), pa.array(texts, pa.binary())], ["round_no", "symbols"])
 
     return run
 
@@ -113,17 +115,18 @@ def _averaged(rows: pa.Table) -> pa.Table:
     return pa.table({"piece": rows["piece"][:1], "weights": pa.array([(total / n).astype("<f4").tobytes()], pa.binary())})
 
 
-def fit_all(training: DataFrame, model: gru.Gru, words: list[bytes], epochs: int) -> gru.Gru:
-    """The model after `epochs` rounds over all texts, the only column of training; the rate falls from round to round.
+def fit_all(training: DataFrame, model: gru.Gru, words: list[bytes], epochs: int = 1) -> gru.Gru:
+    """The model after `epochs` passes over all texts, the only column of training, each in ROUNDS rounds; the rate falls from round to round.
 
     The driver gets one model a round, whatever the number of tasks.
     """
     context = training.sparkSession.sparkContext
-    texts = store(training.mapInArrow(_symbols(context.broadcast((words[: model.n_words], model.other, model.end))), "symbols binary"), "lm_symbols")
-    for epoch in range(epochs):
-        parts = texts.mapInArrow(_fitted(context.broadcast(model), RATE * (1 - epoch / epochs)), "piece int, part int, n long, weights binary")
+    found = training.mapInArrow(_symbols(context.broadcast((words[: model.n_words], model.other, model.end)), ROUNDS), "round_no int, symbols binary")
+    texts = store(found, "lm_symbols", by="round_no")
+    for k in range(rounds := epochs * ROUNDS):
+        parts = texts.where(F.col("round_no") == k % ROUNDS).select("symbols").mapInArrow(_fitted(context.broadcast(model), RATE * (1 - k / rounds)), "piece int, part int, n long, weights binary")
         means = parts.groupBy("piece").applyInArrow(_averaged, "piece int, weights binary").collect()
-        if means:  # else there are no training rows
+        if means:  # else the round has no texts
             model = gru.from_vector(model, np.concatenate([np.frombuffer(r["weights"], "<f4") for r in sorted(means)]))
     return model
 
@@ -161,13 +164,14 @@ def _scored(sent) -> object:
     return run
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", epochs: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", epochs: int = 1, model_words: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs.
 
     Whole texts, null as empty: words lower-cased in A-Z between ASCII white space, then an end. base_score is the add-one unigram log10
     probability from the counts of all training rows; score that of the model: a gated recurrent network over the frequent words,
     `other` and end, where an other word has its add-one share among all other words. Rows that repeat count again. Without training
-    rows, all words are unknown. An empty table gives an empty result.
+    rows, all words are unknown. An empty table gives an empty result. Any number of words can be in the model up to 65,000 and SENT_WORDS;
+    whatever the number, words outside have their share and no row or word is left out.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
@@ -189,7 +193,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = sorted(zip(sent["n"].to_pylist(), as_bytes(sent["word"].combine_chunks()), strict=True), key=lambda r: (-r[0], r[1]))
     n_ends = int(counts.where("word = ''").agg(F.sum("n")).first()[0] or 0)
     words, numbers = [w for _, w in order], np.array([k for k, _ in order], np.float64)
-    m = min(MODEL_WORDS, len(words))
+    m = min(model_words or MODEL_WORDS, len(words))
     n_other, v_other = n - n_ends - int(numbers[:m].sum()), max(0, v - m - 1)
     model = fit_all(training, gru.start(numbers[:m], n_other, n_ends), words, epochs)
     scorer = Scorer(words, numbers, n_ends, (n, v), model)

@@ -17,8 +17,15 @@ _folders: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """The folder that driver and executors share, spark.checkpoint.dir. Where it is unset, a session in one process (tests) takes a
+    folder of its own and a cluster is refused: its machines share no local folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return "/tmp/checkpoints"
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
@@ -29,8 +36,8 @@ def _remove(spark: SparkSession, folder: str) -> None:
         pass
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors.
+def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors. With `by`, a folder for each value of the column.
 
     The tables of a session share one folder, removed when the driver's Python ends.
     """
@@ -40,7 +47,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
         _folders.add(folder)
         atexit.register(_remove, spark, folder)
     path = f"{folder}/{re.sub(r'[^A-Za-z0-9_]', '_', name)}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
