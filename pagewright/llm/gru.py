@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CLASS_WORDS, STATE, STEPS = 64, 32, 32
+CLASS_WORDS, STATE, EMBED, STEPS = 64, 32, 24, 32
 _GROUP = 1024  # texts that are scored side by side
 _TOP_LOGIT, _TINY = np.float32(75), np.float32(1e-30)
 _CHUNK = 1 << 18  # symbols that are laid out side by side to be learned from
@@ -19,10 +19,12 @@ _CHUNK = 1 << 18  # symbols that are laid out side by side to be learned from
 
 @dataclass
 class Gru:
-    """Weights: w (symbol, 3 STATE) what an input adds to the gates, u (STATE, 3 STATE), c and cb for classes, v and vb within classes."""
+    """Weights: e (symbol, EMBED) inputs, p (EMBED, 3 STATE) and b what they add to the gates, u (STATE, 3 STATE), c and cb for classes, v and vb within classes."""
 
     n_words: int
-    w: np.ndarray
+    e: np.ndarray
+    p: np.ndarray
+    b: np.ndarray
     u: np.ndarray
     c: np.ndarray
     cb: np.ndarray
@@ -41,8 +43,13 @@ class Gru:
     def n_classes(self) -> int:
         return len(self.v) + 2
 
+    @property
+    def w(self) -> np.ndarray:
+        """(symbol, 3 STATE): what each input adds to the gates."""
+        return self.e @ self.p + self.b
+
     def weights(self) -> dict[str, np.ndarray]:
-        return {k: getattr(self, k) for k in ("w", "u", "c", "cb", "v", "vb")}
+        return {k: getattr(self, k) for k in ("e", "p", "b", "u", "c", "cb", "v", "vb")}
 
 
 def start(counts: np.ndarray, n_other: float, n_end: float, seed: int = 0) -> Gru:
@@ -60,7 +67,7 @@ def start(counts: np.ndarray, n_other: float, n_end: float, seed: int = 0) -> Gr
     mass = np.r_[by_class.sum(axis=1), n_other, n_end]
     mass /= max(1.0, mass.sum())
     f = lambda *shape, s=0.1: rng.normal(0, s, shape).astype(np.float32)
-    return Gru(n, f(n + 2, 3 * STATE), f(STATE, 3 * STATE, s=STATE**-0.5), f(STATE, n_classes + 2, s=0.02), np.log(mass + 1e-9).astype(np.float32), f(n_classes, STATE, CLASS_WORDS, s=0.02), vb.astype(np.float32))
+    return Gru(n, f(n + 2, EMBED, s=0.3), f(EMBED, 3 * STATE, s=EMBED**-0.5), np.zeros(3 * STATE, np.float32), f(STATE, 3 * STATE, s=STATE**-0.5), f(STATE, n_classes + 2, s=0.02), np.log(mass + 1e-9).astype(np.float32), f(n_classes, STATE, CLASS_WORDS, s=0.02), vb.astype(np.float32))
 
 
 def _class_of(model: Gru, symbols: np.ndarray) -> np.ndarray:
@@ -112,7 +119,7 @@ def log_probs(model: Gru, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
 
 def score(model: Gru, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each text, a sequence of symbols that ends with `end`; states go from window to window to its end."""
-    total = np.zeros(len(texts))
+    total, inputs = np.zeros(len(texts)), model.w
     by_length = np.argsort([-len(t) for t in texts], kind="stable")
     for g in range(0, len(texts), _GROUP):
         group = by_length[g : g + _GROUP]
@@ -131,7 +138,7 @@ def score(model: Gru, texts: list[np.ndarray]) -> np.ndarray:
             h = h[:n]
             for t in range(width):
                 m = int((lengths > at + t).sum()) if lengths[n - 1] <= at + t else n
-                h[:m] = step(model, h[:m], model.w[source[:m, t]])
+                h[:m] = step(model, h[:m], inputs[source[:m, t]])
                 states.append(h[:m].copy())
                 who.append(np.arange(m))
                 what.append(target[:m, t])
@@ -146,7 +153,8 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
     rows, steps = source.shape
     size, kind, inputs, symbols = rows * steps, model.u.dtype, source.T.ravel(), target.T.ravel()
     goes_on = (source.T != model.end).astype(kind)[:, :, None]  # a text begins with no state
-    xs = model.w[inputs].reshape(steps, rows, 3 * STATE)
+    embedded = model.e[inputs]
+    xs = (embedded @ model.p + model.b).reshape(steps, rows, 3 * STATE)
     before, states = np.empty((steps, rows, STATE), kind), np.empty((steps, rows, STATE), kind)
     gates, news, ups = np.empty((steps, rows, 2 * STATE), kind), np.empty((steps, rows, STATE), kind), np.empty((steps, rows, STATE), kind)
     h, u = h0, np.empty((rows, 3 * STATE), kind)
@@ -169,7 +177,7 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
         h += n
     last, flat = h.copy(), states.reshape(size, STATE)
 
-    grads = {k: np.zeros_like(getattr(model, k)) for k in ("w", "v", "vb")}
+    grads = {k: np.zeros_like(getattr(model, k)) for k in ("e", "v", "vb")}
     cls, order, edges = _by_class(model, symbols)
     p, at = _exp(flat @ model.c + model.cb), np.arange(size)
     p *= (1 / _row_sums(p))[:, None]
@@ -211,9 +219,11 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
         d_h *= goes_on[t]
     d_x[:, :, : 2 * STATE] = d_us[:, :, : 2 * STATE]
     grads["u"] = before.reshape(size, STATE).T @ d_us.reshape(size, 3 * STATE)
+    d_x = d_x.reshape(size, 3 * STATE)
+    grads["p"], grads["b"] = embedded.T @ d_x, np.ones(size, kind) @ d_x
     order = np.argsort(inputs.astype(np.uint16), kind="stable")
     begins = np.flatnonzero(np.diff(inputs[order], prepend=-1))
-    grads["w"][inputs[order][begins]] = np.add.reduceat(d_x.reshape(size, 3 * STATE)[order], begins)
+    grads["e"][inputs[order][begins]] = np.add.reduceat((d_x @ model.p.T)[order], begins)
     for g in grads.values():
         g *= kind.type(1 / size)
     return last, grads, loss / size
