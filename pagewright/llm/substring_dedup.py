@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -24,31 +26,45 @@ _SENTENCE = re.compile(rb"[^\n.!?]+(?:[.!?]+(?!\s|\Z)[^\n.!?]*)*[.!?]*|[.!?]+")
 _SPACED = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+class _Cuts(dict):
+    """Whether a long sentence is cut after a word: one word in CUT_ONE_IN, by its hash. Words met are remembered, so many at most."""
+
+    def __missing__(self, word: bytes) -> bool:
+        if len(self) >= 1 << 18:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, SEED) % CUT_ONE_IN == 0
+        return found
+
+
+_CUTS = _Cuts()
+
+
 def sentences(raw: bytes) -> list[tuple[int, int, int, int, bool]]:
     """(begin, end, words, hash, cut from a long sentence) in bytes, of all sentences that have a word; a sentence reaches to its last word's end."""
-    out, digest = [], xxhash.xxh64_intdigest
-    for m in _SENTENCE.finditer(raw):
-        words = m[0].lower().split()
+    out, digest, low, cuts = [], xxhash.xxh64_intdigest, raw.lower(), _CUTS
+    for m in _SENTENCE.finditer(low):
+        begin, end = m.span()
+        words = low[begin:end].split()
         if not words:
             continue
+        begin, end = low.index(words[0], begin), low.rindex(words[-1], begin, end) + len(words[-1])
         if len(words) <= LONG_WORDS:
-            begin = m.start() + len(m[0]) - len(m[0].lstrip())
-            out.append((begin, m.start() + len(m[0].rstrip()), len(words), digest(b" ".join(words), SEED), False))
+            out.append((begin, end, len(words), digest(b" ".join(words), SEED), False))
             continue
-        first, begin, end = 0, 0, 0
-        for k, (word, at) in enumerate(zip(words, _SPACED.finditer(m[0]), strict=True)):
-            if k == first:
-                begin = m.start() + at.start()
-            end = m.start() + at.end()
-            if digest(word, SEED) % CUT_ONE_IN == 0 or k == len(words) - 1:
-                out.append((begin, end, k + 1 - first, digest(b" ".join(words[first : k + 1]), SEED), True))
-                first = k + 1
+        if sum(map(len, words)) + len(words) - 1 == end - begin:  # a space between words and no more
+            starts = [begin, *accumulate((len(w) + 1 for w in words), initial=begin)][1:]
+        else:
+            starts = [begin + x.start() for x in _SPACED.finditer(low[begin:end])]
+        first, last = 0, len(words) - 1
+        for k in [k for k, w in enumerate(words) if cuts[w] or k == last]:
+            out.append((starts[first], starts[k] + len(words[k]), k + 1 - first, digest(b" ".join(words[first : k + 1]), SEED), True))
+            first = k + 1
     return out
 
 
-def runs(found: list[tuple[int, int, int, int, bool]]) -> list[tuple[int, int, int]]:
-    """(first sentence, number of sentences, hash as a signed long) of every run: the shortest from each sentence and to each, by place."""
-    digest = xxhash.xxh64_intdigest
+def runs(found: list[tuple[int, int, int, int, bool]]) -> list[tuple[int, int, bytes]]:
+    """(first sentence, number of sentences, hash of 16 bytes) of every run: the shortest from each sentence and to each, by place."""
+    digest = xxhash.xxh3_128_digest
     hashes = [x[3].to_bytes(8, "big") for x in found]
     sizes, cut = [x[2] for x in found], [x[4] for x in found]
     spans, begin, words, last = [], 0, 0, -1
@@ -67,15 +83,11 @@ def runs(found: list[tuple[int, int, int, int, bool]]) -> list[tuple[int, int, i
         if nearest < 0 and last >= 0:
             spans.append((last, end + 1 - last))  # the shortest to `end`
     spans.sort()
-    out = []
-    for k, n in spans:
-        h = digest(b"".join(hashes[k : k + n]), SEED)
-        out.append((k, n, h - (1 << 64) if h >> 63 else h))
-    return out
+    return [(k, n, digest(b"".join(hashes[k : k + n]), SEED)) for k, n in spans]
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_no, run, first, length of every run of a text; again: the same text has the run further up."""
+    """doc_id, text_no, run and proof (the halves of its hash), first, length of every run of a text; again: the same text has the run further up."""
     for batch in batches:
         rows, hashes, firsts, lengths, again = [], [], [], [], []
         for row, raw in enumerate(as_bytes(batch.column(2))):
@@ -90,9 +102,10 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             firsts += first
             lengths += length
         at = pa.array(rows, pa.int64())
+        halves = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(hashes, pa.int64()), pa.array(firsts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(again, pa.bool_())],
-            ["doc_id", "text_no", "run", "first", "length", "again"],
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), pa.array(firsts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(again, pa.bool_())],
+            ["doc_id", "text_no", "run", "proof", "first", "length", "again"],
         )
 
 
@@ -141,19 +154,22 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_no"), text.alias("text"))
-    spans = named.mapInArrow(_spans, "doc_id long, text_no long, run long, first int, length int, again boolean")
-    # Plain longs, so copies of a run meet in hash maps before the shuffle. A null id is after all others.
+    # Texts are parsed once; what is found is met twice, from a written table.
+    spans = store(named.mapInArrow(_spans, "doc_id long, text_no long, run long, proof long, first int, length int, again boolean"), "substring_spans")
+    # Plain longs, so copies of a run meet in hash maps before the shuffle. A null id is after all others. A run is both halves of its hash:
+    # at 10^12 runs one half alone would meet by chance.
+    run = ["run", "proof"]
     order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
-    least = spans.groupBy("run").agg(F.min(order).alias("first_doc"), F.max(order).alias("last_doc"), F.min("text_no").alias("least_no"), F.max("text_no").alias("most_no"))
-    repeated = store(least.where("first_doc < last_doc or least_no < most_no").select("run", "first_doc"), "substring_runs")
-    met = spans.withColumn("order", order).join(repeated, "run", "left").where("again or first_doc is not null")
-    covered = store(met.select("run", "doc_id", "text_no", "first", "length", "again", "order", "first_doc"), "substring_met")
+    least = spans.groupBy(run).agg(F.min(order).alias("first_doc"), F.max(order).alias("last_doc"), F.min("text_no").alias("least_no"), F.max("text_no").alias("most_no"))
+    repeated = store(least.where("first_doc < last_doc or least_no < most_no").select(*run, "first_doc"), "substring_runs")
+    kinds = ("doc_id", "text_no", "first", "length")
+    covered = store(spans.withColumn("order", order).join(repeated, run).select(*run, *kinds, "order", "first_doc"), "substring_met")
     # Different texts that share the run's smallest id: the smaller hash comes first.
     tied = covered.where("order = first_doc")
-    firsts = tied.groupBy("run").agg(F.min("text_no").alias("first_no"), F.max("text_no").alias("last_no"))
-    tied = tied.join(store(firsts.where("first_no < last_no"), "substring_same"), "run").where("text_no > first_no")
-    kinds = ("doc_id", "text_no", "first", "length")
-    gone = covered.where("again or order > first_doc").select(*kinds).unionByName(tied.select(*kinds)).distinct()
+    firsts = tied.groupBy(run).agg(F.min("text_no").alias("first_no"), F.max("text_no").alias("last_no"))
+    tied = tied.join(store(firsts.where("first_no < last_no"), "substring_same"), run).where("text_no > first_no")
+    found_again = covered.where("order > first_doc").select(*kinds).unionByName(tied.select(*kinds))
+    gone = found_again.unionByName(spans.where("again").select(*kinds)).distinct()
     per_text = gone.groupBy("doc_id", "text_no").agg(F.collect_list(F.struct("first", "length")).alias("gone"))
     per_text = store(per_text.withColumnsRenamed({"doc_id": "of_id", "text_no": "of_no"}), "substring_gone")
     joined = named.join(per_text, (F.col("text_no") == F.col("of_no")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left").select("doc_id", "text", "gone")
