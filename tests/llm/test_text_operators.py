@@ -172,11 +172,11 @@ def test_top_k(spark):
     rows = [(k, rng.normal(0, 0.3, 8).tolist()) for k in range(300)] + [(300, None), (350, [0.1, None] + [0.0] * 6), (400, [float("nan")] * 8), (450, [float("inf")] * 8), (None, [1.0] * 8), (500, [0.5] * 3), (501, [0.25] * 3), (550, []), (600, [1e30] * 8), (0, [0.1] * 8)]
     df = spark.createDataFrame([(i, v, 1, "clash") for i, v in rows], "vec_id long, embedding array<float>, label int, dim string")
     got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id", "score").collect())
-    good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(np.float32(x)) and abs(x) < 1e15 for x in v)]
+    good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(np.float32(x)) for x in v)]
     want = []
     for q, (i, v) in enumerate(good):
         if i % 50 == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for c, (j, w) in enumerate(good) if c != q and len(w) == len(v))[:5]
+            best = sorted((-max(-(2**63) + 1, min(2**63 - 1, sum(a * b for a, b in zip(v, w, strict=True)))), j) for c, (j, w) in enumerate(good) if c != q and len(w) == len(v))[:5]
             want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
     assert got == sorted(want)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
@@ -194,6 +194,26 @@ def test_top_k_with_many_shards(spark, monkeypatch):
     assert got == sorted(want)
 
 
+def test_top_k_of_any_finite_vector(spark):
+    rows = [(0, [1e30, 1.0]), (1, [1e30, -1.0]), (2, [-1e30, 0.0]), (3, [2.0**60, 2.0**60]), (4, [2.0**40, 3.0]), (5, [0.25, 0.5]), (50, [2.0**40, 2.0]), (6, [float("inf"), 0.0]), (7, [None, 0.0]), (8, [1e308, 0.0])]
+    got = defaultdict(list)
+    for r in sorted(topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=9).collect()):
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    whole = {i: [int(x) * 256 if abs(x) > 2.0**50 else math.floor(256 * x) for x in v] for i, v in rows if None not in v and all(map(math.isfinite, v))}
+    top = 2**63 - 1
+    for q in (0, 50):
+        exact = ((i, max(-top, min(top, sum(a * b for a, b in zip(whole[q], v))))) for i, v in whole.items() if i != q)
+        assert got[q] == sorted(exact, key=lambda x: (-x[1], x[0]))
+
+
+def test_block_numbers_of_partitions_never_meet(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 1)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 1)
+    rows = spark.range(9000).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double") / 256).alias("embedding")).repartition(2)
+    got = topk.top_k(rows, F.col("vec_id").isin(0, 8999)).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == [*((0, k + 1, k + 1) for k in range(5)), *((8999, k + 1, 8998 - k) for k in range(5))]
+
+
 def test_model_is_a_distribution():
     model = gru.start(np.array([9.0, 5, 3, 2, 1]), 7.0, 4.0)
     for p in model.weights().values():
