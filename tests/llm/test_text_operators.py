@@ -92,11 +92,11 @@ def test_ids_are_the_tokenizers():
         assert np.frombuffer(mine.ids(x), "<u2").tolist() == t.encode(x, add_special_tokens=False).ids, x
 
 
-def packed(spark, rows, width=64):
+def packed(spark, rows, width=64, weights=None):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    got = packing.pack(table(spark, rows), PATH, width).collect()
+    got = packing.pack(table(spark, rows), PATH, width, weights=weights).collect()
     ids = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x, _, _ in rows}
     times, seen, sequences = Counter(r[0] for r in rows), Counter(), defaultdict(list)
     for r in got:
@@ -138,8 +138,53 @@ def test_packing_repeats_and_small_inputs(spark):
     assert packing.pack(table(spark, [(1, "a", "en", "s")]).limit(0), PATH).count() == 0
 
 
-def test_many_sources_share_queues(spark):
-    packed(spark, [(k, f"doc {k}", "en", f"s{k}") for k in range(packing.MOST_QUEUES + 80)], 128)
+def test_many_sources_keep_their_shares(spark):
+    """More sources than a node of the tree has queues: all are as evenly spread over the windows as their sizes let them be."""
+    n = packing.FAN_OUT + 80
+    rows = [(k, f"document {k} " * 9, "en", f"s{k % n}") for k in range(3 * n)]
+    ids, sequences = packed(spark, rows, 128)
+    total, whole = Counter(), sum(map(len, ids.values()))
+    for i, x in ids.items():
+        total[i % n] += len(x)
+    run = Counter()
+    for at, s in enumerate(sorted(sequences)[: whole // 128], 1):
+        for _, length, i in sequences[s]:
+            run[i % n] += length
+        assert all(abs(run[k] - at * 128 * total[k] / whole) <= 4 for k in range(n))
+
+
+def test_deep_tree_of_queues(monkeypatch):
+    monkeypatch.setattr(packing, "FAN_OUT", 3)
+    rng = np.random.default_rng(8)
+    for n, weights in ((1, None), (3, None), (4, None), (29, None), (29, [int(x) for x in rng.integers(1, 9, 29)])):
+        sizes = sorted((int(x) for x in rng.integers(1, 400, n)), reverse=True)
+        plan = packing.schedule(sizes, 32, weights)
+        docs = []
+        for q, size in enumerate(sizes):
+            cuts = sorted({0, size, *rng.integers(0, size + 1, 3).tolist()})
+            docs += [(q, a, b - a) for a, b in zip(cuts, cuts[1:])]
+        doc, start, length, at = plan.pieces(*(list(x) for x in zip(*docs)))
+        order = np.argsort(at)
+        assert (at[order] == np.r_[0, np.cumsum(length[order])[:-1]]).all() and length.sum() == sum(sizes) and (length > 0).all()
+        for k, (_, _, size) in enumerate(docs):
+            own = doc == k
+            assert start[own].tolist() == np.r_[0, np.cumsum(length[own])[:-1]].tolist() and length[own].sum() == size
+        if weights is None:  # every stretch of the stream holds each queue near its share
+            run, pieces = np.zeros(n), 0
+            for k in order.tolist():
+                run[docs[doc[k]][0]] += length[k]
+                pieces += int(length[k])
+                assert (np.abs(run - pieces * np.array(sizes) / sum(sizes)) <= 34 + 2 * 32 * np.array(sizes) / sum(sizes)).all()
+
+
+def test_packing_to_weights(spark):
+    rows = [(k, "some words of a text " * 4, "en", "ab"[k % 2]) for k in range(200)]
+    ids, sequences = packed(spark, rows, 64, {"a": 3})
+    run = Counter()
+    for s in range(len(sequences) // 2):  # both sources last so long
+        for _, length, i in sequences[s]:
+            run[i % 2] += length
+    assert abs(run[0] - 3 * run[1]) <= 130
 
 
 def test_exact_products_of_large_numbers():
