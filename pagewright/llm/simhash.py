@@ -5,6 +5,10 @@ at equal positions. A list for each single (position, byte) pair would hold a 25
 with the square of the input; the lists here are keyed by the guaranteed minimum itself, four positions with their bytes,
 of which there are 70 for a fingerprint. A pair meets only where it already has the minimum, its shared positional bytes
 are tallied, and those that reach the minimum are verified bit by bit.
+
+Where so many fingerprints share four positions that their list is large, the same step is taken once more within it: of the eight
+half bytes of the other positions two linked fingerprints share four at equal places, so 70 lists of those take the place of the one.
+No list can then have more than 2**16 fingerprints, for 48 of their 64 bits are the same.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ SHINGLE_WORDS, SEED, MOST_BITS, N_BYTES = 4, 42, 4, 8
 SHARED = N_BYTES - MOST_BITS
 POSITIONS = list(combinations(range(N_BYTES), SHARED))
 _CHUNK = 1 << 16
+#: One fingerprint in SHOWN, chosen by its hash, shows which lists are large: LARGE of those and more. It only decides where pairs meet.
+SHOWN, LARGE = 64, 64
 
 
 def fingerprint(raw: bytes) -> int:
@@ -66,6 +72,25 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.tile(fps, len(POSITIONS)))], ["list", "fp"])
 
 
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(list, part, fp): part 0 of a list, or the 70 parts of a large one; a part is its number above four half bytes."""
+    for batch in batches:
+        lists, fps = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        large = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        out = [(lists[~large], np.zeros(int((~large).sum()), np.int64), fps[~large])]
+        lists, fps = lists[large], fps[large]
+        by = fps.view(np.uint8).reshape(-1, N_BYTES)
+        rest = np.array([[p for p in range(N_BYTES) if p not in at] for at in POSITIONS])[lists >> 32]
+        others = np.take_along_axis(by, rest, axis=1)
+        halves = np.concatenate([others & 15, others >> 4], axis=1).astype(np.int64)
+        for k, at in enumerate(POSITIONS):
+            part = np.full(len(fps), (k + 1) << 16)
+            for i, p in enumerate(at):
+                part |= halves[:, p] << (4 * i)
+            out.append((lists, part, fps))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in range(3)], ["list", "part", "fp"])
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which of the pairs share enough positional bytes and then differ in few enough bits."""
     x = np.ascontiguousarray(np.bitwise_xor(a, b)).view(np.uint64)
@@ -90,11 +115,10 @@ def _forest(fps: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within lists; rows come sorted by list. The last list of a batch waits for the next batch."""
-    keep = (np.empty(0, np.int64), np.empty(0, np.int64))
+    """Links within the parts of lists; rows come sorted by list and part. The last part of a batch waits for the batches it goes on in."""
 
-    def of(lists: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-        start = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]]) if len(lists) else np.empty(0, np.int64)
+    def of(lists: np.ndarray, parts: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        start = np.flatnonzero(np.r_[True, (lists[1:] != lists[:-1]) | (parts[1:] != parts[:-1])]) if len(lists) else np.empty(0, np.int64)
         size = np.diff(np.r_[start, len(lists)])
         two = start[size == 2]
         good = two[linked(fps[two], fps[two + 1])] if len(two) else two
@@ -105,13 +129,30 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right += more[1]
         return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
+    held: list[list[np.ndarray]] = []
     for batch in batches:
-        lists, fps = (np.concatenate([k, c.to_numpy(zero_copy_only=False)]) for k, c in zip(keep, batch.columns, strict=True))
-        if len(lists):
-            cut = np.searchsorted(lists, lists[-1])
-            keep = (lists[cut:], fps[cut:])
-            yield of(lists[:cut], fps[:cut])
-    yield of(*keep)
+        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(now[0]):
+            continue
+        ends = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
+        cut = int(ends[-1]) + 1 if len(ends) else 0
+        if held and (cut or (held[0][0][0], held[0][1][0]) != (now[0][0], now[1][0])):
+            yield of(*(np.concatenate([*(h[k] for h in held), now[k][:cut]]) for k in range(3)))
+            held = []
+        elif cut:
+            yield of(*(x[:cut] for x in now))
+        held.append([x[cut:] for x in now])
+    if held:
+        yield of(*(np.concatenate([h[k] for h in held]) for k in range(3)))
+
+
+def links(fps: DataFrame) -> DataFrame:
+    """a, b: for every two linked fingerprints of fps(fp), no fp twice, a path of links between them, perhaps over others."""
+    listed = lambda of: of.mapInArrow(_listed, "list long, fp long")
+    shown = listed(fps.where(F.pmod(F.xxhash64("fp"), F.lit(SHOWN)) == 0)).groupBy("list").count().where(F.col("count") >= LARGE)
+    large = store(shown.select("list", F.lit(True).alias("large")), "simhash_large")
+    parts = listed(fps).join(large, "list", "left").select("list", "fp", "large").mapInArrow(_split, "list long, part long, fp long")
+    return parts.repartition("list", "part").sortWithinPartitions("list", "part", "fp").mapInArrow(_links, "a long, b long")
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -119,8 +160,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_no"), F.col(text_col).alias("text"))
     rows = store(named.mapInArrow(_fingerprints, "doc_id long, text_no long, fp long"), "simhash_rows")
     kinds = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash_kinds")
-    lists = kinds.select("fp").mapInArrow(_listed, "list long, fp long").repartition("list").sortWithinPartitions("list", "fp")
-    labels = store(components(store(lists.mapInArrow(_links, "a long, b long"), "simhash_links")), "simhash_labels")
+    labels = store(components(store(links(kinds.select("fp")), "simhash_links")), "simhash_labels")
     joined = labels.join(kinds, F.col("node") == F.col("fp")).select("node", "root", "least_id")
     least = store(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash_least")
     of_node = store(labels.join(least, "root").select(F.col("node").alias("fp"), "root", "component_id"), "simhash_components")

@@ -80,8 +80,11 @@ def test_spark_hash_is_the_fingerprints_hash(spark):
     assert spark.range(1).select(F.xxhash64(F.lit("a b é d"))).first()[0] % 2**64 == xxhash.xxh64_intdigest("a b é d".encode(), 42)
 
 
-def test_chains_and_families_are_found(spark):
+@pytest.mark.parametrize("large", [simhash.LARGE, 1])
+def test_chains_and_families_are_found(spark, monkeypatch, large):
     """Fingerprints a few bits apart, in chains and crowded families: components by the operator's lists equal brute force."""
+    monkeypatch.setattr(simhash, "LARGE", large)  # 1: lists that show a fingerprint or more are taken apart once more
+    monkeypatch.setattr(simhash, "SHOWN", simhash.SHOWN if large > 1 else 2)
     rng = random.Random(3)
     fps = set()
     for _ in range(6):
@@ -95,8 +98,8 @@ def test_chains_and_families_are_found(spark):
             fps.add(near)
     fps = sorted(fps)
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
-    lists = spark.createDataFrame([(x,) for x in signed], "fp long").mapInArrow(simhash._listed, "list long, fp long").repartition(3, "list").sortWithinPartitions("list", "fp")
-    got = {r["node"]: r["root"] for r in components.components(lists.mapInArrow(simhash._links, "a long, b long")).collect()}
+    links = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"))
+    got = {r["node"]: r["root"] for r in components.components(links).collect()}
     label = brute_components(fps)
     for a in range(len(fps)):
         for b in range(a):
