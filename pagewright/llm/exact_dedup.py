@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from .scratch import ascii_lower, store
 
 PREFIX_CHARS = 64
+#: Groups that hold a share of 1 in HOT_SHARE of all rows, and so HOT_SHARE at most, are sent to all tasks.
+HOT_SHARE = 10_000
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -42,12 +44,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("text_sha256", F.col("top.doc_id").alias("keep_id"), "group_size", F.col("top.row_no").alias("stay_no"))
     )
     groups = store(stays, "exact_groups")
-    # Both sides are tables read anew, so adaptive execution can split a group that holds a third of all rows.
-    return rows.join(groups, "text_sha256", "left").select(
+    # Rows of large groups, of which there can be but HOT_SHARE, stay where they are; the others meet their group by its digest.
+    hot = F.col("group_size") * HOT_SHARE >= rows.count()
+    large = groups.where(hot).withColumnsRenamed({"text_sha256": "hot_sha", "keep_id": "hot_id", "group_size": "hot_size", "stay_no": "hot_no"})
+    seen = rows.join(F.broadcast(large), F.col("text_sha256") == F.col("hot_sha"), "left")
+    seen = seen.withColumn("meets", F.when(F.col("hot_sha").isNotNull(), F.col("row_no").cast("string")).otherwise(F.col("text_sha256")))
+    small = groups.where(~hot).withColumnRenamed("text_sha256", "of_sha")
+    found = seen.join(small, F.col("meets") == F.col("of_sha"), "left")
+    size, stay = F.coalesce("hot_size", "group_size"), F.coalesce("hot_no", "stay_no")
+    return found.select(
         "doc_id",
-        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (F.col("stay_no").isNull() | (F.col("stay_no") == F.col("row_no"))).alias("kept"),
+        F.when(size.isNull(), F.col("doc_id")).when(F.col("hot_sha").isNotNull(), F.col("hot_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce(size, F.lit(1).cast("long")).alias("group_size"),
+        (stay.isNull() | (stay == F.col("row_no"))).alias("kept"),
         "text_sha256",
     )
 
