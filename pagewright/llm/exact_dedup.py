@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import ascii_lower, store
+from .scratch import ascii_lower, masked, store
 
 PREFIX_CHARS = 64
 #: Groups that hold a share of 1 in HOT_SHARE of all rows, and so HOT_SHARE at most, are sent to all tasks.
@@ -62,10 +62,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that exact_groups() drops; the columns of docs, in their order."""
-    names, spare = docs.columns, "pw_sha"
-    while spare in names:
-        spare += "_"
+    """docs without the rows that exact_groups() drops; the columns of docs, of any names, in their order."""
+    whole = docs.columns
+    docs, named = masked(docs)
+    id_col, text_col, names, spare = named[id_col], named[text_col], docs.columns, "pw_sha"
     found = exact_groups(docs, id_col, text_col).where("group_size > 1")
     decided = store(
         found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("stays"), F.count("*").alias("copies")).withColumnsRenamed({"doc_id": "pw_id", "text_sha256": "pw_key"}),
@@ -77,7 +77,7 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     once = keyed.join(decided.where("not stays or copies > 1").hint("merge"), at, "left_anti").select(names)
     repeated = decided.where("stays and copies > 1")
     if repeated.isEmpty():
-        return once
+        return once.toDF(*whole)
     # A stayer whose row is repeated: one of its identical rows stays.
     again = keyed.join(repeated, at, "left_semi").dropDuplicates([id_col, spare]).select(names)
-    return once.unionByName(again)
+    return once.unionByName(again).toDF(*whole)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import as_bytes, store
+from .scratch import as_bytes, masked, store
 
 LANGUAGES = ("de", "en", "es", "fr")
 NONE = "und"
@@ -66,9 +66,8 @@ def fit_text_model(labelled: DataFrame, label: str = "lang", text: str = "text",
     chosen = labelled.where(F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") < share * 2.0**32)
     grams = chosen.select(F.col(label).alias("lang"), F.col(text).alias("text")).mapInArrow(_gram_counts, "lang string, bucket long, n long")
     table = np.zeros((BUCKETS, len(languages) + 1))
-    for r in grams.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("grams")).toLocalIterator():  # a row per language, BUCKETS pairs at most once summed
-        pairs = np.array([(g["bucket"], g["n"]) for g in r["grams"]], np.int64).reshape(-1, 2)
-        np.add.at(table[:, languages.index(r["lang"])], pairs[:, 0], pairs[:, 1])
+    summed = grams.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows a language at most
+    table[summed["bucket"].to_numpy(), [languages.index(x) for x in summed["lang"].to_pylist()]] = summed["n"].to_numpy()
     totals = table.sum(axis=0)
     share_of = np.where(totals > 0, table / np.maximum(totals, 1), 1 / BUCKETS)
     return np.log((1 - _FLOOR) * share_of + _FLOOR / BUCKETS).astype(np.float32)
@@ -180,43 +179,80 @@ def fuse(scored: DataFrame, host: Column, domain: Column, signs: dict[str, Colum
     return out.select(*kept, text_lang.alias("text_lang"), lang.alias("lang_id"), F.when(empty, F.lit(1.0)).otherwise(share).alias("posterior"))
 
 
+#: What a text or page says its language is, and the suffix of the first address in a text. Neither looks at a character many times.
+_DECLARED = r"(?i)<[a-z]+\b[^<>]*?\s(?:xml:)?lang\s*=\s*[\"']?([a-z]{2,3})"
+_ADDRESS = r"(?:@|://)[A-Za-z0-9.-]*\.([A-Za-z]{2,})"
+
+
+def _nothing(c: Column) -> Column:
+    return F.when(c != "", c)
+
+
+def _document_signs(source: Column, text: Column) -> tuple[Column, Column, dict[str, Column]]:
+    """(host, domain, signs) of a document: its source is the host; declared: what markup in it says; suffix: that of its source, if
+    that is a host's name, else of the first address in it. What a document doesn't have is null, which is evidence as any value."""
+    named = F.contains(source, F.lit("."))
+    suffix = F.when(named, F.lower(F.substring_index(source, ".", -1))).otherwise(_nothing(F.lower(F.regexp_extract(text, _ADDRESS, 1))))
+    return source, F.when(named, F.lower(F.substring_index(source, ".", -2))), {"declared_as": _nothing(F.lower(F.regexp_extract(text, _DECLARED, 1))), "suffix": suffix}
+
+
 def document_languages(docs: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFrame:
     """doc_id, lang_id, posterior, text_lang, kept for every row of documents.
 
-    `lang` labels the sample that the text model is fitted on and is no evidence; the source is the host. A document is rejected, kept
-    = false, if none of the languages explains it better than noise does, or it has no text.
+    `lang` labels the sample that the text model is fitted on and is no evidence; what is, see _document_signs. A document is rejected,
+    kept = false, if none of the languages explains it better than noise does, or it has no text. Rows that repeat count again and have
+    equal results; of equal posteriors the first language in order wins. An empty table gives an empty result.
     """
     model = fit_text_model(docs, languages=languages)
-    scored = with_text_evidence(docs.select("doc_id", "source", "text"), "text", model)
-    found = fuse(scored.drop("text"), F.col("source"), F.lit(None).cast("string"), languages=languages)
+    host, domain, signs = _document_signs(F.col("source"), F.col("text"))
+    slim = docs.select("doc_id", host.alias("host"), domain.alias("domain"), *[c.alias(k) for k, c in signs.items()], "text")
+    scored = store(with_text_evidence(slim, "text", model).drop("text"), "language_texts")
+    found = fuse(scored, F.col("host"), F.col("domain"), {k: F.col(k) for k in signs}, languages)
     return found.select("doc_id", "lang_id", "posterior", "text_lang", (F.col("lang_id") != NONE).alias("kept"))
 
 
 def keep_known(docs: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFrame:
     """docs without the documents that document_languages() rejects."""
-    scored = with_text_evidence(docs, "text", fit_text_model(docs, languages=languages))
-    return fuse(scored, F.col("source"), F.lit(None).cast("string"), languages=languages).where(F.col("lang_id") != NONE).select(docs.columns)
+    plain, names = masked(docs)
+    scored = with_text_evidence(plain, names["text"], fit_text_model(docs, languages=languages))
+    return fuse(scored, *_document_signs(F.col(names["source"]), F.col(names["text"])), languages).where(F.col("lang_id") != NONE).select(plain.columns).toDF(*docs.columns)
 
 
-_MARKUP = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z#0-9]+;?")
+_MARKUP = re.compile(rb"<(?:(script|style)\b|(!--))|<[^<>]*>?|&[a-z#0-9]+;?", re.I)
+_REST = re.compile(rb"[^<>]*>?")
+_ENDS = {b"script": re.compile(rb"</script\s*>", re.I), b"style": re.compile(rb"</style\s*>", re.I), b"!--": re.compile(rb"-->")}
 
 
 def _off_markup(html: bytes) -> bytes:
-    return b" ".join(_MARKUP.sub(b" ", html).split())
+    """Text without tags, scripts, styles, comments and references, in one pass: what has no end is looked for once."""
+    out, at, endless = [], 0, set()
+    while m := _MARKUP.search(html, at):
+        out.append(html[at : m.start()])
+        at, kind = m.end(), (m[1] or m[2] or b"").lower()
+        if kind and kind not in endless:
+            end = _ENDS[kind].search(html, at)
+            if end:
+                at = end.end()
+            else:
+                endless.add(kind)
+        if kind in endless:
+            at = _REST.match(html, at).end()
+    out.append(html[at:])
+    return b" ".join(b" ".join(out).split())
 
 
 def page_languages(pages: DataFrame, labelled: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFrame:
     """page_id, lang_id, posterior, text_lang, declared, host for every row of pages.
 
     The text model is fitted on labelled(doc_id, lang, text); declared is the lang attribute of the html element, the suffix
-    the last label of the host, the domain its last two. A null url has no host, a null html no text: und.
+    the last label of the host, the domain its last two. A null url has no host, a null html no text: und. Rows that repeat have equal
+    results; an empty table gives an empty result.
     """
     model = fit_text_model(labelled, languages=languages)
-    nothing = lambda c: F.when(c != "", c)
-    declared = nothing(F.lower(F.regexp_extract("html", r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]{2,3})", 1)))
-    host = nothing(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)))
+    declared = _nothing(F.lower(F.regexp_extract("html", r"(?is)<html\b[^<>]*?\slang\s*=\s*[\"']?([a-z]{2,3})", 1)))
+    host = _nothing(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)))
     slim = pages.select("page_id", host.alias("host"), declared.alias("declared"), "html")
-    scored = with_text_evidence(slim, "html", model, _off_markup).drop("html")
+    scored = store(with_text_evidence(slim, "html", model, _off_markup).drop("html"), "language_pages")
     suffix, domain = F.substring_index("host", ".", -1), F.substring_index("host", ".", -2)
     found = fuse(scored, F.col("host"), domain, {"declared_as": F.col("declared"), "suffix": suffix}, languages)
     return found.select("page_id", "lang_id", "posterior", "text_lang", "declared", "host")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import store, word_count
+from .scratch import masked, store, word_count
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
@@ -40,11 +40,12 @@ def mix_sources(rows: DataFrame, size: Column, id_col: str = "doc_id", source_co
 
     Within a source, rows stand in the order of a hash of seed and id; the budget, the rounded target, takes whole epochs of the
     source and then the first words in that order, cut at exactly the budget. Rows that repeat an id stand together, ordered
-    by size and ties. A null source is a source, a null id a key; empty texts take 0; an empty table gives an empty result.
-    Names that begin with mix_ must not occur in rows.
+    by size and ties; those without one, which may be many, stand by a hash of size and ties. A null source is a source; empty
+    texts take 0; an empty table gives an empty result. Names that begin with mix_ must not occur in rows (see scratch.masked).
     """
     spark = rows.sparkSession
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    nameless = F.concat_ws(":", F.lit("null"), size.cast("string"), *[t.cast("string") for t in ties])
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), nameless)))
     slim = store(rows.select(F.col(source_col).alias("source"), size.alias("size"), F.substring(key, 1, _HEX).alias("key")), "mix_sizes")
     place = F.conv(F.col("key"), 16, 10).cast("double") / float(16**_HEX)
     # As many key ranges as keep every range small, also those of a source with a third of all rows.
@@ -80,8 +81,8 @@ def mix_sources(rows: DataFrame, size: Column, id_col: str = "doc_id", source_co
 
 def mixture_table(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, source for every row of docs, texts scanned once."""
-    sizes = store(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix_documents")
-    mixed = mix_sources(sizes, F.col("size"))
+    sizes = store(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("tie")), "mix_documents")
+    mixed = mix_sources(sizes, F.col("size"), ties=[F.col("tie")])
     return mixed.select("doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"), "source")
 
 
@@ -90,7 +91,9 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
     A document of no words, which no budget counts, stays once.
     """
-    mixed = mix_sources(docs, word_count(F.col("text")), ties=[F.xxhash64("text")])
+    plain, names = masked(docs)
+    text = names["text"]
+    mixed = mix_sources(plain, word_count(F.col(text)), names["doc_id"], names["source"], ties=[F.xxhash64(text)])
     whole = F.expr("mix_taken div mix_size") + F.when(F.col("mix_taken") % F.col("mix_size") * 2 >= F.col("mix_size"), 1).otherwise(0)
     copies = F.when(F.col("mix_size") == 0, F.lit(1)).otherwise(whole.cast("int"))
-    return mixed.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(docs.columns)
+    return mixed.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(plain.columns).toDF(*docs.columns)

@@ -65,3 +65,9 @@ def ascii_lower(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words between ASCII white space; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def masked(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs under names that no operator uses for its own columns, and the name that stands for each: a caller's columns may have any."""
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import as_bytes, store
+from .scratch import as_bytes, masked, store
 
 SHINGLE_WORDS, SEED, MOST_BITS, N_BYTES = 4, 42, 4, 8
 SHARED = N_BYTES - MOST_BITS
@@ -185,6 +185,9 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Of different texts under that id, the one with the smaller hash stays; of rows that repeat it, one, the same on reruns.
     """
+    whole = docs.columns
+    docs, names = masked(docs)
+    id_col, text_col = names[id_col], names[text_col]
     found = store(_grouped(docs, id_col, text_col), "simhash_found")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     tops = found.where(first).groupBy("root").agg(F.count("*").alias("n"), F.min("text_no").alias("stay_no")).where("n > 1")
@@ -194,7 +197,7 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     at = docs[id_col].eqNullSafe(gone["pw_id"]) & (F.xxhash64(docs[text_col]) == gone["pw_no"])
     once = docs.join(gone, at, "left_anti")
     if gone.where("pw_again").isEmpty():
-        return once
+        return once.toDF(*whole)
     again = docs.join(gone.where("pw_again"), at, "left_semi")
     one = again.groupBy(id_col, F.xxhash64(text_col).alias("pw_no")).agg(F.min(F.struct(F.xxhash64(*docs.columns), *docs.columns)).alias("pw_first"))
-    return once.unionByName(one.select(*[F.col(f"pw_first.`{c}`").alias(c) for c in docs.columns]))
+    return once.unionByName(one.select(*[F.col(f"pw_first.`{c}`").alias(c) for c in docs.columns])).toDF(*whole)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -51,6 +53,87 @@ def test_host_priors_decide_where_the_text_says_nothing(spark, small):
     assert got[100]["lang_id"] == "fr" and got[100]["declared"] == "fr" and got[100]["host"] == "a.site.fr" and got[101]["lang_id"] == "und" and len(got) == len(rows)
 
 
+def brute_languages(docs, host_of, signs_of, known=("de", "en", "es", "fr")):
+    """(lang, posterior) of rows (id, text, lang, ...) by plain loops over the definitions in the module's docstring."""
+    names = [*known, "und"]
+
+    def buckets(text):
+        b = b" " + text.encode().lower() + b" "
+        return [(((b[k] << 16) + (b[k + 1] << 8) + b[k + 2]) * 0x9E3779B1 & 0xFFFFFFFF) >> 16 for k in range(len(b) - 2)]
+
+    grams = {x: Counter() for x in known}
+    for r in docs:
+        if r[2] in grams and r[1] is not None:
+            grams[r[2]].update(buckets(r[1]))
+    totals = {x: sum(c.values()) for x, c in grams.items()}
+
+    def log_of(x, b):
+        if x == "und" or not totals[x]:
+            return -math.log(65536)
+        return math.log(0.9 * grams[x][b] / totals[x] + 0.1 / 65536)
+
+    evidence = [[0.1 * sum(log_of(x, b) for b in buckets(r[1] or "")) if r[1] else 0.0 for x in names] for r in docs]
+    guess = ["und" if not r[1] else names[e.index(max(e))] for r, e in zip(docs, evidence)]
+    every, hosts, domains, signs = Counter(guess), defaultdict(Counter), defaultdict(Counter), defaultdict(lambda: defaultdict(Counter))
+    for r, g in zip(docs, guess):
+        host, domain = host_of(r)
+        hosts[host, domain][g] += 1
+        domains[domain][g] += 1
+        for k, v in signs_of(r).items():
+            signs[k][v][g] += 1
+    n, out = len(docs), []
+    for r, e in zip(docs, evidence):
+        if not r[1]:
+            out.append(("und", 1.0))
+            continue
+        host, domain = host_of(r)
+        total = []
+        for x, score in zip(names, e):
+            corpus = (every[x] + 1) / (n + len(names))
+            of_domain = (domains[domain][x] + 20 * corpus) / (sum(domains[domain].values()) + 20)
+            score += math.log((hosts[host, domain][x] + 20 * of_domain) / (sum(hosts[host, domain].values()) + 20))
+            for k, v in signs_of(r).items():
+                score += math.log((signs[k][v][x] + 1) / (every[x] + len(signs[k])))
+            total.append(score)
+        top = max(total)
+        out.append((names[total.index(top)], 1 / sum(math.exp(x - top) for x in total)))
+    return out
+
+
+def test_languages_against_brute_force(spark, small):
+    """Every kind of evidence that a document can have, nulls, repeated rows, clashing columns and empty texts."""
+    rows = [(r["doc_id"], r["text"][:300], r["lang"], r["source"]) for r in spark.read.parquet(f"{small}/documents.parquet").where("text is not null").limit(60).collect()]
+    rows += [(900 + k, f"<p lang='{x}'>{k} {k * 7}</p> see http://a{k}.b.{x} or c@d.{x}", None, f"www.site.{x}") for k, x in enumerate(("de", "fr", "FR", "es") * 3)]
+    rows += [(None, None, None, None), (950, "", "en", None), (951, "12", "xx", "a.b.fr"), (951, "12", "xx", "a.b.fr"), (952, "@@@ :// <a lang=", None, "x")]
+
+    def signs(r):
+        text = r[1] or ""
+        declared = re.search(r"<[a-z]+\b[^<>]*?\slang\s*=\s*[\"']?([a-z]{2,3})", text, re.I)
+        address = re.search(r"(?:@|://)[A-Za-z0-9.-]*\.([A-Za-z]{2,})", text)
+        suffix = r[3].split(".")[-1].lower() if r[3] and "." in r[3] else address and address[1].lower()
+        return {"declared": declared and declared[1].lower(), "suffix": suffix}
+
+    want = brute_languages(rows, lambda r: (r[3], ".".join(r[3].split(".")[-2:]).lower() if r[3] and "." in r[3] else None), signs)
+    df = table(spark, rows)
+    got = sorted((str(r["doc_id"]), r["lang_id"], round(r["posterior"], 3)) for r in language_id.document_languages(df).collect())
+    assert got == sorted((str(r[0]), x, round(p, 3)) for r, (x, p) in zip(rows, want))
+    kept = language_id.keep_known(df.withColumnsRenamed({"ids": "pw_text", "part": "pw_host"}))
+    assert kept.columns == [*df.columns[:5], "pw_text", "pw_host"] and kept.count() == sum(x != "und" for x, _ in want)
+    assert language_id.document_languages(df.limit(0)).count() == 0 == language_id.keep_known(df.limit(0)).count()
+
+
+def test_markup_is_taken_off_in_one_pass(spark, small):
+    began = time.time()
+    for piece in (b"<script>", b"<!--", b"<", b"<style ", b"&a", b"<p>x"):
+        language_id._off_markup(piece * 100_000)
+    assert time.time() - began < 10
+    assert language_id._off_markup(b"a<script>b</script>c<!-- d -->e<script>f<p>g &amp; <!-- h") == b"a c e f g"
+    pages = spark.createDataFrame([(1, None, None, "x"), (1, None, None, "x"), (2, "https://h.fr", "word " * 200_000, "y")], "page_id long, url string, html string, host string")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    got = language_id.page_languages(pages, docs).collect()
+    assert len(got) == 3 and language_id.page_languages(pages.limit(0), docs).count() == 0
+
+
 def test_pages_of_real_shapes():
     page = """<html><head><title>x</title></head><body><header><h1>Site</h1></header><div class="cookie-notice">We use cookies a lot</div><form><nav><ul><li><a href=#>Home</a></ul></nav>
     <main><article><h1>Big &amp; Title</h1><p>One  two
