@@ -43,7 +43,7 @@ _NUMBERS = ("준법감시인 심의필 2026-{0} (심의일: 2026. 01. 02.)", "[
 def review_number_extract(spark: SparkSession, folder: str) -> DataFrame:
     docs = D.table(spark, folder, "documents")
     number = F.format_string("%04d", F.col("doc_id") % 10000)
-    text = F.concat(F.substring("text", 1, 30), F.lit(" "), F.replace(_pick(_NUMBERS, F.col("doc_id")), F.lit("{0}"), number))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), F.replace(_pick(_NUMBERS, F.col("doc_id")), F.lit("{0}"), number))
     return docs.select("doc_id", L.review_number(text).alias("quote"))
 
 
@@ -55,15 +55,15 @@ def quote_in_source(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def label_constraints(spark: SparkSession, folder: str) -> DataFrame:
-    """Titles and worked rate examples among documents' first lines."""
-    d = F.col("doc_id")
-    line = F.substring_index("text", "\n", 1)
-    text = F.when(d % 3 == 0, F.concat(F.lit("기준금리 2.5% + 가산금리 1.0%, 적용시 "), F.substring(line, 1, 20))).when(d % 3 == 1, F.substring(line, 1, 70)).otherwise(F.concat(F.lit("우대금리 0.3% "), F.substring(line, 1, 20)))
+    """Titles and worked rate examples among all lines."""
+    d = F.col("doc_id") + F.col("i")
+    line = F.col("text")
+    text = F.when(d % 3 == 0, F.concat(F.lit("기준금리 2.5% + 가산금리 1.0%, 적용시 "), line)).when(d % 3 == 1, line).otherwise(F.concat(F.lit("우대금리 0.3% "), line))
     labels = F.array(*[F.lit(x) for x in ("대출금리", "대출기간", "상품명", "우대금리")])
-    rows = D.table(spark, folder, "documents").select("doc_id", text.alias("text"), labels.alias("labels"), F.when(d % 2 == 0, "paragraph_title").otherwise("text").alias("layout"))
-    announced = F.when(d % 5 == 0, F.array(F.lit("우대금리"))).otherwise(F.array().cast("array<string>"))
+    rows = D.lines(spark, folder).select("doc_id", "i", text.alias("text"), labels.alias("labels"), F.when(d % 2 == 0, "paragraph_title").otherwise("text").alias("layout"))
+    announced = F.when((F.col("doc_id") + F.col("i")) % 5 == 0, F.array(F.lit("우대금리"))).otherwise(F.array().cast("array<string>"))
     found = L.constrain_rates(L.constrain_title(F.col("labels"), F.col("layout"), F.col("text")), F.col("text"), announced)
-    return rows.select("doc_id", F.array_join(found, ",").alias("labels"))
+    return rows.select("doc_id", "i", F.array_join(found, ",").alias("labels"))
 
 
 def label_answer_validate(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,7 +110,7 @@ _HINTS = ("잔금대출", "적금", "정기예금", "입출금", "장기카드
 def _advertised(spark: SparkSession, folder: str) -> DataFrame:
     d = F.col("doc_id")
     shown = F.when(d % 3 == 0, M.SHOWN).when(d % 3 == 1, M.NOT_SHOWN)
-    hay = F.concat(_pick(_HINTS, F.expr("doc_id div 3")), F.lit(" "), F.substring("text", 1, 40))
+    hay = F.concat(_pick(_HINTS, F.expr("doc_id div 3")), F.lit(" "), F.coalesce("text", F.lit("")))
     return D.table(spark, folder, "documents").select("doc_id", _pick(("대출성", "예금성", "카드", "투자성"), F.expr("doc_id div 2")).alias("product_group"), shown.alias("shown"), hay.alias("haystack"))
 
 
@@ -179,7 +179,7 @@ def review_units(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def label_examples(spark: SparkSession, folder: str) -> DataFrame:
-    turns = D.table(spark, folder, "conversations").select(F.col("role").alias("template_id"), (F.col("conv_id") % 7).cast("string").alias("label"), (F.col("conv_id") * 100 + F.col("turn")).alias("pos"), F.substring("text", 1, 25).alias("example"))
+    turns = D.table(spark, folder, "conversations").select(F.col("role").alias("template_id"), (F.col("conv_id") % 7).cast("string").alias("label"), (F.col("conv_id") * 100 + F.col("turn")).alias("pos"), F.col("text").alias("example"))
     return M.examples(turns).select("template_id", "label", "example", "nr")
 
 
@@ -231,7 +231,7 @@ hd as (select *, row_number() over (partition by doc_id, page_no, region_id orde
 _ADV = f"""
 adv as (
   select doc_id, {_pick_sql(("대출성", "예금성", "카드", "투자성"), "doc_id // 2")} as g, case when doc_id % 3 = 0 then '{M.SHOWN}' when doc_id % 3 = 1 then '{M.NOT_SHOWN}' end as shown,
-    lower({_pick_sql(_HINTS, "doc_id // 3")} || ' ' || substr(text, 1, 40)) as hay from documents
+    lower({_pick_sql(_HINTS, "doc_id // 3")} || ' ' || coalesce(text, '')) as hay from documents
 )"""
 _CAT = "cat(template_id, template_pos, product_group, label_pos, label) as (values " + ", ".join(f"('{t}', {p}, '{g}', {k}, '{x}')" for t, p, g, k, x in M.catalog_rows()) + ")"
 
@@ -245,15 +245,17 @@ ml as (select *, told || ['유의사항', {_pick_sql(list(L.ALIASES), "doc_id")}
 select doc_id, page_no, region_id, array_to_string(list_filter(l, lambda x, k: list_position(l, x) = k), ',') as labels from ml""",
     ),
     "review_number_extract": f"""
-select doc_id, nullif(trim(regexp_extract(substr(text, 1, 30) || ' ' || replace({_pick_sql(_NUMBERS, "doc_id")}, '{{0}}', printf('%04d', doc_id % 10000)), '{L.REVIEW_NUMBER}', 0)), '') as quote from documents""",
+select doc_id, nullif(trim(regexp_extract(coalesce(text, '') || ' ' || replace({_pick_sql(_NUMBERS, "doc_id")}, '{{0}}', printf('%04d', doc_id % 10000)), '{L.REVIEW_NUMBER}', 0)), '') as quote from documents""",
     "quote_in_source": f"""
 with q as (select doc_id, text, case when doc_id % 4 = 0 then substr(text, 5, 40) when doc_id % 4 = 1 then replace(substr(text, 1, 30), ' ', ' | ') || '...' when doc_id % 4 = 2 then translate(substr(text, 3, 25), '.,', ';:') else reverse(substr(text, 1, 9)) end as quote from documents)
 select doc_id, coalesce({_quoted_sql("quote", "text")}, false) as quoted from q""",
-    "label_constraints": """
-with r as (
-  select doc_id, case when doc_id % 3 = 0 then '기준금리 2.5% + 가산금리 1.0%, 적용시 ' || substr(line, 1, 20) when doc_id % 3 = 1 then substr(line, 1, 70) else '우대금리 0.3% ' || substr(line, 1, 20) end as text,
-    doc_id % 2 = 0 as title, doc_id % 5 = 0 as announced from (select doc_id, string_split(text, chr(10))[1] as line from documents))
-select doc_id, case when title and length(regexp_replace(text, '\\s+', '', 'g')) <= 60 then '상품명' when doc_id % 3 = 0 then case when announced then '대출금리,우대금리' else '대출금리' end else '대출금리,대출기간,상품명,우대금리' end as labels from r""",
+    "label_constraints": D.with_(
+        "lines",
+        """
+r as (
+  select doc_id, i, doc_id + i as d, case when (doc_id + i) % 3 = 0 then '기준금리 2.5% + 가산금리 1.0%, 적용시 ' || text when (doc_id + i) % 3 = 1 then text else '우대금리 0.3% ' || text end as text from lines)
+select doc_id, i, case when d % 2 = 0 and length(regexp_replace(text, '\\s+', '', 'g')) <= 60 then '상품명' when d % 3 = 0 then case when d % 5 = 0 then '대출금리,우대금리' else '대출금리' end else '대출금리,대출기간,상품명,우대금리' end as labels from r""",
+    ),
     "label_answer_validate": f"""
 with d as (select doc_id, text, doc_id % 10 <> 3 as has1, doc_id % 6 = 0 as has2, {_quoted_sql("substr(text, 4, 20)", "text")} as qa,
   case when doc_id % 2 = 0 then {_quoted_sql("substr(text, 1, 15)", "text")} else {_quoted_sql("'nowhere to be found'", "text")} end as qb from documents where text is not null)
@@ -310,6 +312,6 @@ select u.doc_id, 'review_' || u.product_id as unit_id, u.product_id, 't' || (u.d
   coalesce((select string_agg(region_id, ',' order by page_no, seq) from r where r.doc_id = u.doc_id and r.product_id = 'page_common'), '') as common_ids from u""",
     ),
     "label_examples": """
-with e as (select role as template_id, (conv_id % 7)::varchar as label, min(conv_id * 100 + turn) as pos, trim(regexp_replace(substr(text, 1, 25), '\\s+', ' ', 'g')) as example from conversations group by role, conv_id % 7, trim(regexp_replace(substr(text, 1, 25), '\\s+', ' ', 'g')))
+with e as (select role as template_id, (conv_id % 7)::varchar as label, min(conv_id * 100 + turn) as pos, trim(regexp_replace(text, '\\s+', ' ', 'g')) as example from conversations group by role, conv_id % 7, trim(regexp_replace(text, '\\s+', ' ', 'g')))
 select template_id, label, example, nr from (select *, row_number() over (partition by template_id, label order by pos) as nr from e where example <> '') where nr <= 2""",
 }

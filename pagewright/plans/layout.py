@@ -42,12 +42,11 @@ def equal_mass_cuts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gap_segments(spark: SparkSession, folder: str) -> DataFrame:
-    """Words of the first line of each page as boxes 9 wide, some further apart."""
-    first = D.lines(spark, folder).where("i % 40 = 0")
-    words = first.select("doc_id", "page_no", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    """Words of every line as boxes 9 wide, some further apart."""
+    words = D.lines(spark, folder).select("doc_id", "page_no", "i", F.posexplode(F.split("text", " ")).alias("pos", "word"))
     x0 = F.col("pos") * 10 + F.expr("pos div 4") * (F.col("doc_id") % 9) * 10
-    boxes = words.select("doc_id", "page_no", F.col("pos").cast("long").alias("pos"), x0.alias("x0"), (x0 + 9).alias("x1"))
-    return L.gap_segments(boxes, D.PAGE).select("doc_id", "page_no", "pos", "segment")
+    boxes = words.select("doc_id", "page_no", "i", F.col("pos").cast("long").alias("pos"), x0.alias("x0"), (x0 + 9).alias("x1"))
+    return L.gap_segments(boxes, (*D.PAGE, "i")).select("doc_id", "page_no", "i", "pos", "segment")
 
 
 def paragraph_groups(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,10 +158,10 @@ select doc_id, page_no, k::bigint as k, min(pos) as cut from k where whole > 0 a
     "gap_segments": D.with_(
         "lines",
         """
-w as (select doc_id, page_no, generate_subscripts(string_split(text, ' '), 1) - 1 as pos from lines where i % 40 = 0),
-b as (select doc_id, page_no, pos, pos * 10 + (pos // 4) * (doc_id % 9) * 10 as x0 from w),
-g as (select *, x0 - (lag(x0) over (partition by doc_id, page_no order by pos) + 9) as gap, greatest(9 * 4.0, 6.0) as lim from b)
-select doc_id, page_no, pos, (sum(case when gap > lim then 1 else 0 end) over (partition by doc_id, page_no order by pos))::bigint as segment from g""",
+w as (select doc_id, page_no, i, generate_subscripts(string_split(text, ' '), 1) - 1 as pos from lines),
+b as (select doc_id, page_no, i, pos, pos * 10 + (pos // 4) * (doc_id % 9) * 10 as x0 from w),
+g as (select *, x0 - (lag(x0) over (partition by doc_id, page_no, i order by pos) + 9) as gap, greatest(9 * 4.0, 6.0) as lim from b)
+select doc_id, page_no, i, pos, (sum(case when gap > lim then 1 else 0 end) over (partition by doc_id, page_no, i order by pos))::bigint as segment from g""",
     ),
     "paragraph_groups": """
 with raw as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as text, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 as index from documents),

@@ -28,8 +28,10 @@ def line_nms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def recovery_components(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines whose number leaves 0 or 1 by 7, so that some are neighbours: a recursive query finds the same components."""
-    return folds.recovery_components(D.lines(spark, folder).where("(doc_id + i) % 7 < 2"))
+    """Candidates of all lines that the assignment leaves without a region; every second region is taken away, so that neighbours are among them."""
+    lines = D.lines(spark, folder)
+    owned = assign.with_owner(lines, D.regions(lines).where("seq % 2 = 0"))
+    return folds.recovery_components(owned.where("region_id is null"))
 
 
 def row_cluster(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,7 +138,7 @@ def read_scope(spark: SparkSession, folder: str) -> DataFrame:
 
 def clean_answers(spark: SparkSession, folder: str) -> DataFrame:
     d = F.col("doc_id")
-    text = F.concat(F.substring("text", 1, 30), F.when(d % 3 == 0, '"} (Note: more talk "] and').when(d % 3 == 1, ' "] tail').otherwise(""))
+    text = F.concat(F.coalesce("text", F.lit("")), F.when(d % 3 == 0, '"} (Note: more talk "] and').when(d % 3 == 1, ' "] tail').otherwise(""))
     return D.table(spark, folder, "documents").select("doc_id", reading.clean_answer(text).alias("text"))
 
 
@@ -184,7 +186,7 @@ def request_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 def answer_parsing(spark: SparkSession, folder: str) -> DataFrame:
     """Events' JSON, some with a stray backslash, some in a code fence, some broken for good."""
-    e = D.table(spark, folder, "events").where("event_id % 20 < 4")
+    e = D.table(spark, folder, "events")
     raw = F.when(F.col("event_id") % 20 == 1, F.replace("props", F.lit('"k"'), F.lit('\\q"k"'))).when(F.col("event_id") % 20 == 2, F.concat(F.lit("```json\n"), "props", F.lit("\n```"))).when(F.col("event_id") % 20 == 3, F.lit("{broken")).otherwise(F.col("props"))
     found = export.parsed(e.select("event_id", F.replace(raw, F.lit('\\q"k"'), F.lit('"\\k"')).alias("answer")), "k long")
     return found.select("event_id", F.col("parsed.k").alias("k"))
@@ -224,9 +226,11 @@ ex as (
 
 ORACLE_SQL = {
     "recovery_components": "with recursive "
-    + D.with_("lines", "")[5:].rstrip().rstrip(",")
+    + D.with_("lines regions", "")[5:].rstrip().rstrip(",")
     + """,
-lo as (select * from lines where (doc_id + i) % 7 < 2),
+ow as (select l.doc_id, l.page_no, l.i from lines l join regions r on l.doc_id = r.doc_id and l.page_no = r.page_no and r.seq % 2 = 0
+  and (greatest(0, least(l.x1, r.x1) - greatest(l.x0, r.x0)) * greatest(0, least(l.y1, r.y1) - greatest(l.y0, r.y0)))::double / greatest(1, (l.x1 - l.x0) * (l.y1 - l.y0)) >= 0.5),
+lo as (select l.* from lines l anti join ow on l.doc_id = ow.doc_id and l.page_no = ow.page_no and l.i = ow.i),
 hh as (select doc_id, page_no, median(greatest(1, y1 - y0))::double as h from lo group by all),
 gr as (select lo.doc_id, lo.page_no, i, y0, x0, lo.x0 - greatest(8.0, 1.5 * h) as a0, lo.x1 + greatest(8.0, 1.5 * h) as a1, lo.y0 - greatest(2.0, 0.25 * h) as b0, lo.y1 + greatest(2.0, 0.25 * h) as b1 from lo join hh on lo.doc_id = hh.doc_id and lo.page_no = hh.page_no),
 ed as (select p.doc_id, p.page_no, p.i as u, q.i as v from gr p join gr q on p.doc_id = q.doc_id and p.page_no = q.page_no and p.a0 < q.a1 and q.a0 < p.a1 and p.b0 < q.b1 and q.b0 < p.b1),
@@ -271,7 +275,7 @@ select doc_id, page_no, region_id, concat_ws(',', case when trim(reader) = '' an
 sc as (select *, seq % 17 <> 0 and seq % 12 <> 0 and not (src = 'document_processor' and {_NS.format("text")} <> '') as base, length({_NS.format("text")}) <= 3 or seq % 5 = 1 or seq % 4 = 0 as doubt from rd0)
 select doc_id, page_no, region_id, base as "all", base and doubt as targeted, false as off from sc""",
     ),
-    "clean_answers": "select doc_id, trim(substr(text, 1, 30)) as text from documents",
+    "clean_answers": "select doc_id, trim(coalesce(text, '')) as text from documents",
     "text_source_rollup": D.with_("regions", "select doc_id, ['vlm', 'digital', 'hwp', 'hwp', 'digital', 'ocr', 'ocr'][(seq % 7 + 1)::int] as source, count(*) as n from regions group by all"),
     "p3_export": D.with_("regions", f"{_EXPORTED} select doc_id, page_no, region_id, text, source, labels, kind, product_id from ex"),
     "p1_summary": D.with_("regions", f"{_EXPORTED} select doc_id, count(distinct page_no) as pages, count(*) as regions, count_if(trim(text) = '') as blank, count_if(labels = 'a,b') as multi_label, 0::bigint as no_label, count_if(kind = 'table') as tables from ex group by doc_id"),
@@ -280,5 +284,5 @@ select doc_id, page_no, region_id, base as "all", base and doubt as targeted, fa
 with c as (select event_type as schema, event_id % 3 = 0 as cached, round(abs(value) * 100)::bigint as seconds, 1 + event_id % 3 as attempts, event_id % 50 = 0 as timed_out from events)
 select coalesce(schema, 'total') as schema, count(*) as calls, count_if(cached) as cached, sum(seconds)::bigint as seconds, sum(attempts)::bigint as attempts, count_if(timed_out) as timeouts from c group by rollup(schema)""",
     "request_keys": """select conv_id, turn, sha256(length(coalesce(text, '')) || ':' || coalesce(text, '') || length(role) || ':' || role || '18:{"type": "object"}' || '3:900' || '1:m') as key from conversations""",
-    "answer_parsing": "select event_id, case when event_id % 20 = 3 then null else (json_extract(props, '$.k'))::bigint end as k from events where event_id % 20 < 4",
+    "answer_parsing": "select event_id, case when event_id % 20 = 3 then null else (json_extract(props, '$.k'))::bigint end as k from events",
 }

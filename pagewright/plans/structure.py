@@ -17,8 +17,8 @@ def _regions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def structure_parse(spark: SparkSession, folder: str) -> DataFrame:
-    """First pages written as a structure answer: odd lines paragraphs, even ones tables of one row, in every tenth of which a table is nested."""
-    lines = D.lines(spark, folder).where("page_no <= 2")
+    """Documents written as a structure answer: odd lines paragraphs, even ones tables of one row, in every tenth of which a table is nested."""
+    lines = D.lines(spark, folder)
     inner = F.concat(F.lit('{"type": "table", "table": {"cells": [[{"text": "inner '), "i", F.lit('"}]]}}'))
     cell = F.concat(F.lit('{"text": "cell '), "i", F.lit('", "colSpan": 2, "blocks": ['), F.when(F.col("i") % 10 == 0, inner).otherwise(""), F.lit("]}"))
     block = F.when(F.col("i") % 2 == 1, F.concat(F.lit('{"type": "paragraph", "pageNumber": '), "page_no", F.lit(', "text": " line '), "i", F.lit(' "}'))).otherwise(F.concat(F.lit('{"type": "table", "pageNumber": '), "page_no", F.lit(', "table": {"sourceId": "T'), "i", F.lit('", "cells": [['), cell, F.lit(', {"text": "", "rowSpan": 0}, null]]}}')))
@@ -111,7 +111,7 @@ def bold_fonts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_styles(spark: SparkSession, folder: str) -> DataFrame:
-    chars = D.lines(spark, folder).where("i % 5 = 0").select(*D.PAGE, "i", F.posexplode(F.split(F.substring("text", 1, 30), "")).alias("pos", "ch"))
+    chars = D.lines(spark, folder).select(*D.PAGE, "i", F.posexplode(F.split("text", "")).alias("pos", "ch"))
     code = F.ascii("ch")
     c = chars.select(*D.PAGE, "i", "pos", (8 + code % 3).cast("double").alias("size"), (code % 11 == 0).alias("bold"), F.when(code % 5 > 0, F.format_string("#%02X0000", code % 4)).alias("color"), F.concat(F.lit("F"), (code % 2).cast("string")).alias("font"))
     return V.line_styles(c, (*D.PAGE, "i")).select(*D.PAGE, "i", "size", "size_min", "size_max", "bold", "color", "font", F.array_join("colors", ",").alias("colors"))
@@ -153,7 +153,7 @@ ORACLE_SQL = {
     "structure_parse": D.with_(
         "lines",
         """
-l as (select * from lines where page_no <= 2)
+l as (select * from lines)
 select doc_id, page_no, 'paragraph' as kind, printf('p%d_para%04d', page_no, row_number() over (partition by doc_id order by i)) as source_id, null as parent_table, null::bigint as row, null::bigint as col, 1 as col_span, 'line ' || i as text from l where i % 2 = 1
 union all select doc_id, page_no, 'cell', 'T' || i, null, 0, c, case when c = 0 then 2 else 1 end, case when c = 0 then 'cell ' || i else '' end from l, (values (0), (1), (2)) v(c) where i % 2 = 0
 union all select doc_id, page_no, 'cell', 'T' || i || '_nested_0_0_1', 'T' || i, 0, 0, 1, 'inner ' || i from l where i % 10 = 0""",
@@ -228,7 +228,7 @@ union all select doc_id, page_no, region_id, x0, y0, x1, y1, text, text_source,
     "line_styles": D.with_(
         "lines",
         """
-ch as (select doc_id, page_no, i, unnest(string_split(substr(text, 1, 30), '')) as c, generate_subscripts(string_split(substr(text, 1, 30), ''), 1) as pos from lines where i % 5 = 0),
+ch as (select doc_id, page_no, i, unnest(string_split(text, '')) as c, generate_subscripts(string_split(text, ''), 1) as pos from lines),
 s as (select doc_id, page_no, i, pos, 8 + ascii(c) % 3 as size, ascii(c) % 11 = 0 as bold, case when ascii(c) % 5 > 0 then printf('#%02X0000', ascii(c) % 4) end as color, 'F' || (ascii(c) % 2) as font from ch),
 cs as (select doc_id, page_no, i, 'size' as k, size::varchar as v, count(*) as n, min(pos) as p from s group by all union all select doc_id, page_no, i, 'color', color, count(*), min(pos) from s where color is not null group by doc_id, page_no, i, color union all select doc_id, page_no, i, 'font', font, count(*), min(pos) from s group by doc_id, page_no, i, font),
 rk as (select doc_id, page_no, i, k, string_agg(v, ',' order by n desc, p) as vs from cs group by all),
