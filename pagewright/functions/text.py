@@ -18,9 +18,22 @@ def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+# Letters whose folded form is not their lower case.
+FOLDED = {"ß": "ss", "ς": "σ", "ſ": "s", "ŉ": "ʼn", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+
+
+def casefold(c: Column) -> Column:
+    """Lower case, by which forms of a letter are one: sharp s and ligatures are looked for only in texts that have one."""
+    low = F.lower(c)
+    folded = low
+    for letter, form in FOLDED.items():
+        folded = F.replace(folded, F.lit(letter), F.lit(form))
+    return F.when(F.rlike(low, F.lit(f"[{''.join(FOLDED)}]")), folded).otherwise(low)
+
+
 def no_space_lower(c: Column) -> Column:
-    """White space dropped, lower case."""
-    return F.lower(no_space(c))
+    """White space dropped, case folded."""
+    return casefold(no_space(c))
 
 
 def no_space(c: Column) -> Column:
@@ -66,11 +79,43 @@ def nfkc_content(texts: pd.Series) -> pd.Series:
 
 def ratio(a: str, b: str, junk: bool = True) -> float:
     """1 for two empty texts, 0 for one; else twice the matched characters by all."""
-    if not a or not b:
+    if not a or not b or a == b:
         return float(a == b)
     return SequenceMatcher(None, a, b, autojunk=junk).ratio()
 
 
+def ratio_from(a: str, b: str, least: float) -> float:
+    """ratio() without junk where it is `least` or more, else 0. Given up as soon as what is left to match cannot lift it so far."""
+    if not a or not b or a == b:
+        return float(a == b)
+    total, matched, left = len(a) + len(b), 0, min(len(a), len(b))
+    m = SequenceMatcher(None, a, b, autojunk=False)
+    if m.real_quick_ratio() < least or m.quick_ratio() < least:
+        return 0.0
+    areas = [(0, len(a), 0, len(b))]
+    while areas and 2.0 * (matched + left) / total >= least:
+        a0, a1, b0, b1 = areas.pop()
+        left -= min(a1 - a0, b1 - b0)
+        i, j, n = m.find_longest_match(a0, a1, b0, b1)
+        if n:
+            matched += n
+            for area in ((a0, i, b0, j), (i + n, a1, j + n, b1)):
+                if (size := min(area[1] - area[0], area[3] - area[2])) > 0:
+                    left += size
+                    areas.append(area)
+    found = 2.0 * matched / total
+    return found if not areas and found >= least else 0.0
+
+
+def seq_ratio_from(a: Column | str, b: Column | str, least: float) -> Column:
+    """The sequence matcher's ratio without junk where it is `least` or more, else 0."""
+
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([ratio_from(p or "", q or "", least) for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    return pandas_udf(run, DoubleType())(a, b)
+
+
 def _ratios(a: pd.Series, b: pd.Series, junk: bool) -> pd.Series:
     return pd.Series([ratio(x or "", y or "", junk) for x, y in zip(a, b, strict=True)], dtype="float64")
 
@@ -91,6 +136,18 @@ def balance(a: Column, b: Column) -> Column:
     return F.least(n, m).cast("double") / F.greatest(F.lit(1), n, m)
 
 
+def char_counts(c: Column) -> Column:
+    """How often a text has each of its characters, as a map: to be worked out once for a text that is compared with many."""
+    chars = F.filter(F.array_distinct(F.split(c, "")), lambda x: x != "")
+    return F.map_from_arrays(chars, F.transform(chars, lambda x: F.length(c) - F.length(F.replace(c, x, F.lit("")))))
+
+
+def counts_coverage(a: Column, b: Column, length: Column) -> Column:
+    """multiset_coverage() of two texts by their char_counts(), length being that of the first."""
+    both = F.aggregate(F.map_entries(a), F.lit(0), lambda n, e: n + F.least(e["value"], F.coalesce(F.try_element_at(b, e["key"]), F.lit(0))))
+    return F.when(length > 0, both / length).otherwise(F.lit(0.0))
+
+
 def multiset_coverage(a: Column, b: Column) -> Column:
     """Share of a's characters, repeats included, that b has too; an empty a gives 0."""
 

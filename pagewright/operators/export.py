@@ -66,10 +66,10 @@ def call_stats(calls: DataFrame) -> DataFrame:
     return per.withColumn("schema", F.when(F.col("g") == 1, "total").otherwise(F.col("schema"))).drop("g")
 
 
-def request_key(parts: list[Column], schema: Column, max_tokens: Column, model: Column) -> Column:
-    """What an answer is kept under: everything that the request consists of, hashed; parts apart by their lengths."""
-    told = [F.concat(F.length(F.coalesce(p.cast("string"), F.lit(""))).cast("string"), F.lit(":"), F.coalesce(p.cast("string"), F.lit(""))) for p in (*parts, schema, max_tokens, model)]
-    return F.sha2(F.concat(*told), 256)
+def request_key(texts: list[Column], images: list[Column], schema_name: Column, schema: Column, max_tokens: Column, model: Column) -> Column:
+    """What an answer is kept under: the request's texts and images (data URIs), schema (JSON with sorted keys), limit and model, hashed. The form is fixed."""
+    told = [F.concat(F.lit(mark), F.coalesce(p.cast("string"), F.lit(""))) for mark, parts in (("T", texts), ("I", images)) for p in parts]
+    return F.sha2(F.concat(*told, F.lit("S"), schema_name, schema, F.lit("|"), max_tokens.cast("string"), F.lit("|"), model), 256)
 
 
 def repaired(raw: str | None, most: int = 8) -> str | None:

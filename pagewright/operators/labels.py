@@ -122,6 +122,14 @@ def chunks(regions: DataFrame, keys: tuple[str, ...], size: int) -> DataFrame:
     return regions.withColumn("chunk", F.floor(nr / size).cast("long"))
 
 
-def shortened(text: Column, most: int = 1600, head: int = 1100, tail: int = 500) -> Column:
-    """A text of over `most` characters as its beginning and its end."""
-    return F.when(F.length(text) > most, F.concat(F.substring(text, 1, head), F.lit("…"), F.right(text, F.lit(tail)))).otherwise(text)
+def shortened(text: Column, most: int = 1600, tail: int = 500) -> Column:
+    """A text, white space as single spaces; of over `most` characters its beginning and its end, and how many are left out. The form of the gap is fixed."""
+    t = T.one_space(text)
+    gap = F.concat(F.lit(" …(중략 "), (F.length(t) - most).cast("string"), F.lit("자)… "))
+    return F.when(F.length(t) > most, F.concat(F.substring(t, 1, most - tail), gap, F.right(t, F.lit(tail)))).otherwise(t)
+
+
+def cut_short(text: Column, most: int = 700) -> Column:
+    """A text, white space as single spaces, up to `most` characters."""
+    t = T.one_space(text)
+    return F.when(F.length(t) > most, F.concat(F.substring(t, 1, most), F.lit("…"))).otherwise(t)

@@ -107,24 +107,33 @@ def paragraph_groups(rows: DataFrame, keys: tuple[str, ...], item_start: str = I
 
 
 def novel_blocks(visual: DataFrame, structured: DataFrame, key: str = "block_id") -> DataFrame:
-    """visual with duplicate: whether structured blocks of the page already say it, by place and text, alone or three and more together."""
-    s = structured.select(*PAGE, *[F.col(c).alias(f"s_{c}") for c in G.BOX], F.col("content").alias("s_content"))
+    """visual with duplicate: whether structured blocks of the page already say it, by place and text, alone or three and more together, or, of a block
+    with a table's markup, whether the page has a structured table.
+
+    structured: PAGE, box, content, has_table. Texts are normalised and their characters counted before blocks meet, once a block.
+    """
+    s = structured.select(*PAGE, *[F.col(c).alias(f"s_{c}") for c in G.BOX], T.no_space_lower("content").alias("known"))
+    s = s.withColumn("known_chars", T.char_counts(F.col("known")))
+    v = visual.select(*PAGE, key, *G.BOX, T.no_space_lower("content").alias("said"))
+    v = v.withColumn("said_chars", T.char_counts(F.col("said")))
     a, b = G.box("s_"), G.box()
     x, y = G.axis_share(a[0], a[2], b[0], b[2]), G.axis_share(a[1], a[3], b[1], b[3])
-    known, text = T.no_space_lower("s_content"), T.no_space_lower("content")
-    met = visual.join(s, list(PAGE)).withColumns({"x": x, "y": y}).where("x >= 0.8 and y >= 0.8").withColumns({"known": known, "said": text})
+    met = v.join(s, list(PAGE)).withColumns({"x": x, "y": y}).where("x >= 0.8 and y >= 0.8")
     known_area, own_area = F.greatest(F.lit(1), G.area(a)), F.greatest(F.lit(1), G.area(b))
-    there = lambda l, r: T.multiset_coverage(F.col(l), F.col(r))
+    there = lambda l, r: T.counts_coverage(F.col(f"{l}_chars"), F.col(f"{r}_chars"), F.length(l))
     x, y = F.col("x"), F.col("y")
     geometry = (x >= 0.95) & (y >= 0.95) & (F.least(known_area, own_area) / F.greatest(known_area, own_area) >= 0.75)
     present = (F.col("said") != "") & (F.col("known") != "") & F.contains("known", "said")
     met = met.withColumn("c1", F.when((x >= 0.9) & (y >= 0.9) & (F.length("said") >= 8), there("said", "known"))).withColumn("c2", F.when((F.col("c1") >= 0.8) & (F.col("c1") < 0.85), there("known", "said")))
     noisy = F.coalesce((F.col("c1") >= 0.85) | (F.col("c2") >= 0.8), F.lit(False))
     enclosed = (G.intersection(a, b) / known_area >= 0.8) & (F.col("known") != "")
-    per = met.groupBy(*PAGE, key).agg(F.max(geometry | present | noisy).alias("pair"), F.count_if(enclosed).alias("inside"), F.array_join(F.collect_list(F.when(enclosed, F.col("known"))), "").alias("all_known"))
-    joined = visual.join(per, [*PAGE, key], "left")
-    together = (F.col("inside") >= 3) & (F.length(text) >= 20) & (T.multiset_coverage(text, F.col("all_known")) >= DEFAULT.structure_match)
-    return joined.withColumn("duplicate", F.coalesce(F.col("pair") | together, F.lit(False))).drop("pair", "inside", "all_known")
+    per = met.groupBy(*PAGE, key).agg(F.first("said").alias("said"), F.max(geometry | present | noisy).alias("pair"), F.count_if(enclosed).alias("inside"), F.array_join(F.collect_list(F.when(enclosed, F.col("known"))), "").alias("all_known"))
+    together = (F.col("inside") >= 3) & (F.length("said") >= 20) & (T.multiset_coverage(F.col("said"), F.col("all_known")) >= DEFAULT.structure_match)
+    found = per.select(*PAGE, key, (F.col("pair") | together).alias("duplicate"))
+    pages = structured.where("has_table").select(*PAGE).distinct().withColumn("tabled", F.lit(True))
+    joined = visual.join(found, [*PAGE, key], "left").join(pages, list(PAGE), "left")
+    markup = F.contains(F.lower(F.coalesce("content", F.lit(""))), F.lit("<table")) & F.col("tabled").isNotNull()
+    return joined.withColumn("duplicate", F.coalesce("duplicate", F.lit(False)) | markup).drop("tabled")
 
 
 def drop_adjacent_repeats(lines: DataFrame, keys: tuple[str, ...], parser_text: Column, least: int = 8) -> DataFrame:

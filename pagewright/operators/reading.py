@@ -51,7 +51,12 @@ def digital_evidence(text_source: Column, structure_agrees: Column, share: Colum
     return F.startswith(source, F.lit("document_processor")) | F.coalesce(structure_agrees, F.lit(False)) | F.coalesce(share >= DEFAULT.digital_share, F.startswith(source, F.lit("digital_")))
 
 
-def apply_reading(regions: DataFrame, agreement: Column) -> DataFrame:
+def agreement(text: Column, reader: Column) -> Column:
+    """How alike two readings are, by letters and digits: the sequence matcher's ratio, 1 for two empty ones."""
+    return T.seq_ratio(T.nfkc_alnum(text), T.nfkc_alnum(reader))
+
+
+def apply_reading(regions: DataFrame) -> DataFrame:
     """final_text, final_source, reading_status, flag of a region that was read and perhaps judged.
 
     regions: text, text_source, structure_agrees, structure_text, digital_share, reader_text, judge_text, judge_confidence. A text with digital evidence is
@@ -67,15 +72,15 @@ def apply_reading(regions: DataFrame, agreement: Column) -> DataFrame:
     glyph = agrees & private(ocr) & ~private(final) & (T.plain(final) == T.plain("structure_text"))
     status = (
         F.when(blank, "vlm_blank").when(digital & same, "parser_verified").when(digital & glyph, "vlm_glyph_verified_by_hwp_structure").when(digital & agrees, "parser_verified_by_hwp_structure")
-        .when(digital, "parser_preserved").when(judged, "judge_selected").when(T.no_space(ocr) == "", "vlm_only").when(agreement >= DEFAULT.reader_agreement, "agree").otherwise("disagree")
+        .when(digital, "parser_preserved").when(judged, "judge_selected").when(T.no_space(ocr) == "", "vlm_only").when(F.col("agreed") >= DEFAULT.reader_agreement, "agree").otherwise("disagree")
     )
-    r = regions.withColumn("reading_status", status)
+    r = regions.withColumn("agreed", agreement(F.col("text"), F.col("reader_text"))).withColumn("reading_status", status)
     s = F.col("reading_status")
     takes = s.isin("judge_selected", "vlm_glyph_verified_by_hwp_structure")
     reads = s.isin("vlm_only", "agree", "disagree")
     source = F.when(s == "judge_selected", "vlm_judge").when(s == "vlm_glyph_verified_by_hwp_structure", "vlm_structure_verified").when(reads, "vlm_reader").otherwise(F.col("text_source"))
     flag = F.when(s == "parser_preserved", "digital_text_vlm_disagreement").when((s == "judge_selected") & (F.coalesce("judge_confidence", F.lit(0.0)) < DEFAULT.confidence), "vlm_judge_low_confidence").when(s == "vlm_only", "vlm_only_text").when(s == "disagree", "ocr_vlm_disagreement")
-    return r.withColumns({"final_text": F.when(takes, final).when(reads, reader).otherwise(ocr), "final_source": source, "flag": flag})
+    return r.withColumns({"final_text": F.when(takes, final).when(reads, reader).otherwise(ocr), "final_source": source, "flag": flag}).drop("agreed")
 
 
 def clean_answer(text: Column) -> Column:

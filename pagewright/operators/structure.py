@@ -98,17 +98,17 @@ def match_score(a: Column, b: Column, ratio: Column) -> Column:
     return F.when((a == "") | (b == ""), 0.0).when(F.contains(a, b) | F.contains(b, a), 1.0).otherwise(ratio)
 
 
-def replace_by_source(regions: DataFrame, texts: DataFrame, ratio: Column | None = None) -> DataFrame:
+def replace_by_source(regions: DataFrame, texts: DataFrame) -> DataFrame:
     """validation (agrees, partial, null without evidence), final_text, final_source of each region.
 
     A region takes its source's text if both match by 0.8 and 0.7 in length, the source holds no other region's text that this one lacks, and the
-    texts differ in more than, for structured texts, white space. ratio: of columns key and source_key, the sequence matcher's by default.
+    texts differ in more than, for structured texts, white space.
     """
     r = regions.join(texts, [*PAGE, "region_id"], "left").withColumns({"key": T.plain("text"), "source_key": T.plain("source_text")})
     others = regions.select(*PAGE, F.col("region_id").alias("other_id"), T.plain("text").alias("other_key")).where(F.length("other_key") >= 6)
     foreign = r.where("source_text is not null").join(others, list(PAGE)).where((F.col("other_id") != F.col("region_id")) & F.contains("source_key", "other_key") & ~F.contains("key", "other_key"))
     foreign = foreign.select(*PAGE, "region_id").distinct().withColumn("foreign", F.lit(True))
-    score = match_score(F.col("source_key"), F.col("key"), T.seq_ratio_all("source_key", "key") if ratio is None else ratio)
+    score = match_score(F.col("source_key"), F.col("key"), T.seq_ratio_from("source_key", "key", 0.8))
     r = r.join(foreign, [*PAGE, "region_id"], "left").withColumn("score", F.when(F.col("source_text").isNotNull(), score))
     agrees = (F.col("score") >= 0.8) & (T.balance(F.col("source_key"), F.col("key")) >= 0.7)
     structured = F.rlike(F.coalesce("text_source", F.lit("")), F.lit("^(document_processor|hwp_structure)"))
@@ -117,19 +117,24 @@ def replace_by_source(regions: DataFrame, texts: DataFrame, ratio: Column | None
     return r.withColumns({"validation": F.when(F.col("source_text").isNotNull(), F.when(agrees, "agrees").otherwise("partial")), "final_text": F.when(takes, F.col("source_text")).otherwise(F.col("text")), "final_source": F.when(takes, "hwp_structure").otherwise(F.col("text_source"))})
 
 
-def attach_tables(tables: DataFrame, cells: DataFrame, regions: DataFrame, ratio: Column | None = None) -> DataFrame:
+def attach_tables(tables: DataFrame, cells: DataFrame, regions: DataFrame) -> DataFrame:
     """table_id, region_id of the region that a source table of 2 to 30 slots belongs to: by text or cells 0.8, in length 0.55; the best, of equals the earlier.
 
     tables: PAGE, table_id, slots, text; cells: PAGE, table_id, text; regions: PAGE, region_id, seq, text.
     """
     t = tables.where("slots between 2 and 30").select(*PAGE, "table_id", T.plain("text").alias("source_key"))
     met = t.join(regions.select(*PAGE, "region_id", "seq", T.plain("text").alias("key")), list(PAGE))
+    met = met.withColumn("balance", T.balance(F.col("source_key"), F.col("key"))).where("balance >= 0.55")
     keyed = cells.select(*PAGE, "table_id", T.plain("text").alias("cell")).where("cell <> ''").groupBy(*PAGE, "table_id").agg(F.collect_list("cell").alias("cells"))
     met = met.join(keyed, [*PAGE, "table_id"], "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<string>")))
     size = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x))
     covered = size(F.filter("cells", lambda c: F.contains("key", c))) / F.greatest(F.lit(1), size(F.col("cells")))
-    score = F.greatest(match_score(F.col("source_key"), F.col("key"), T.seq_ratio_all("source_key", "key") if ratio is None else ratio), covered)
-    met = met.withColumns({"score": score, "balance": T.balance(F.col("source_key"), F.col("key"))}).where("score >= 0.8 and balance >= 0.55")
+    met = met.withColumn("covered", covered)
+    known = (F.col("covered") >= 1) | F.contains("source_key", "key") | F.contains("key", "source_key")  # the matcher can't raise these
+    sure, unsure = met.where(known), met.where(~known)
+    sure = sure.withColumn("score", F.greatest(match_score(F.col("source_key"), F.col("key"), F.lit(0.0)), "covered"))
+    unsure = unsure.withColumn("score", F.greatest(match_score(F.col("source_key"), F.col("key"), T.seq_ratio_from("source_key", "key", 0.8)), "covered"))
+    met = sure.unionByName(unsure).where("score >= 0.8")
     return met.groupBy(*PAGE, "table_id").agg(F.max_by("region_id", F.struct("score", "balance", -F.col("seq"))).alias("region_id"))
 
 

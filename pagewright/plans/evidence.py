@@ -103,7 +103,7 @@ QUERIES = {
     )
 }
 
-_NORM = "lower(regexp_replace({0}, '\\s+', '', 'g'))"
+_NORM = "replace(lower(regexp_replace({0}, '\\s+', '', 'g')), 'ß', 'ss')"
 _TEXTS = f"""
 lt as (
   select doc_id, page_no, region_id, coalesce(string_agg(case when trim(text) <> '' then trim(text) end, chr(10) order by y0, x0, i), '') as line_text, count(*) as n_lines,

@@ -91,7 +91,7 @@ def label_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shortened_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return D.table(spark, folder, "documents").select("doc_id", L.shortened(F.col("text")).alias("text"))
+    return D.table(spark, folder, "documents").select("doc_id", L.shortened(F.col("text")).alias("text"), L.cut_short(F.col("text")).alias("short_text"))
 
 
 _FILES = ("1. 카드상품 안내.pdf", "2. 펀드 ISA.png", "3. 정기예금.pdf", "4. 신용대출.hwp", "5. 행사 안내.png")
@@ -263,7 +263,9 @@ select doc_id, case when has1 and doc_id % 9 not in (0, 4) then concat_ws(',', c
   case when has1 then doc_id % 10 / 10.0::double when has2 then 0.9::double else 0 end as confidence,
   case when has1 then case when doc_id % 9 in (0, 4) then 'contradiction' else 'ok' end when has2 then 'ok' else 'missing' end as status from d""",
     "label_chunks": D.with_("regions", "select doc_id, page_no, region_id, (row_number() over (partition by doc_id, page_no order by seq) - 1) // 15 as chunk from regions"),
-    "shortened_texts": "select doc_id, case when length(text) > 1600 then substr(text, 1, 1100) || '…' || right(text, 500) else text end as text from documents",
+    "shortened_texts": """
+with t as (select doc_id, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) as t from documents)
+select doc_id, case when length(t) > 1600 then substr(t, 1, 1100) || ' …(중략 ' || (length(t) - 1600) || '자)… ' || right(t, 500) else t end as text, case when length(t) > 700 then substr(t, 1, 700) || '…' else t end as short_text from t""",
     "filename_prior_fusion": f"""
 with d as (select doc_id, {_pick_sql(_FILES, "doc_id")} as f, doc_id % 7 <> 0 as answered, case when doc_id % 7 <> 0 then {_pick_sql(_GROUPS, "doc_id // 5")} end as g from documents),
 p as (select doc_id, {_group_sql("f", M.NAME_WORDS)} as prior, answered and g in ('기타', '판단불가') as abst, case when answered and g not in ('기타', '판단불가') then g end as said from d)

@@ -57,13 +57,13 @@ def paragraph_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _visual(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Blocks of a page seen again: moved a little, their text with a character lost, some with another text; and page-wide ones."""
+    """Blocks of a page seen again: moved a little, their text with a character lost, some with another text or as a table's markup; and page-wide ones."""
     regions = D.regions(D.lines(spark, folder))
     shift = F.col("seq") % 4
-    text = F.when(F.col("seq") % 5 == 0, F.reverse("content")).when(F.col("seq") % 3 == 0, F.lit("entirely new words")).otherwise(F.substring("content", 2, 1 << 30))
+    text = F.when(F.col("seq") % 7 == 2, F.concat(F.lit("<Table><tr><td>"), F.reverse("content"))).when(F.col("seq") % 5 == 0, F.reverse("content")).when(F.col("seq") % 3 == 0, F.lit("entirely new words")).otherwise(F.substring("content", 2, 1 << 30))
     near = regions.where("seq % 2 = 0").select(*D.PAGE, F.col("region_id").alias("block_id"), *[(F.col(c) + shift * 40).alias(c) for c in ("x0", "x1")], *[(F.col(c) + shift * 3).alias(c) for c in ("y0", "y1")], text.alias("content"))
     wide = regions.groupBy(*D.PAGE).agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "content"))), lambda s: s["content"]), "\n").alias("content"))
-    return near.unionByName(wide.withColumn("block_id", F.lit("wide"))), regions
+    return near.unionByName(wide.withColumn("block_id", F.lit("wide"))), regions.withColumn("has_table", (F.col("doc_id") % 2 == 0) & (F.col("seq") == 1))
 
 
 def novel_block_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,7 +115,7 @@ QUERIES = {
     )
 }
 
-_N = "lower(regexp_replace({0}, '\\s+', '', 'g'))"
+_N = "replace(lower(regexp_replace({0}, '\\s+', '', 'g')), 'ß', 'ss')"
 
 
 def _cover(a: str, b: str) -> str:
@@ -175,7 +175,7 @@ select doc_id, index, g::bigint as "group" from s where not blank""",
         f"""
 vis as (
   select doc_id, page_no, region_id as block_id, x0 + (seq % 4) * 40 as x0, x1 + (seq % 4) * 40 as x1, y0 + (seq % 4) * 3 as y0, y1 + (seq % 4) * 3 as y1,
-         case when seq % 5 = 0 then reverse(content) when seq % 3 = 0 then 'entirely new words' else substr(content, 2) end as content from regions where seq % 2 = 0
+         case when seq % 7 = 2 then '<Table><tr><td>' || reverse(content) when seq % 5 = 0 then reverse(content) when seq % 3 = 0 then 'entirely new words' else substr(content, 2) end as content from regions where seq % 2 = 0
   union all
   select doc_id, page_no, 'wide', min(x0), max(x1), min(y0), max(y1), string_agg(content, chr(10) order by seq) from regions group by doc_id, page_no
 ),
@@ -196,7 +196,8 @@ per as (
   from cov group by all
 ),
 j as (select v.*, {_N.format("v.content")} as said, p.pair, p.inside, coalesce(p.allk, '') as allk from vis v left join per p on v.doc_id = p.doc_id and v.page_no = p.page_no and v.block_id = p.block_id)
-select doc_id, page_no, block_id, coalesce(pair or (inside >= 3 and length(said) >= 20 and {_cover("said", "allk")} >= 0.72), false) as duplicate from j""",
+select doc_id, page_no, block_id, coalesce(pair or (inside >= 3 and length(said) >= 20 and {_cover("said", "allk")} >= 0.72), false)
+  or (contains(lower(content), '<table') and exists (select 1 from regions r where r.doc_id = j.doc_id and r.page_no = j.page_no and r.doc_id % 2 = 0 and r.seq = 1)) as duplicate from j""",
     ),
     "render_text": D.with_(
         "lines regions",

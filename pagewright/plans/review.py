@@ -98,7 +98,7 @@ def digital_anchoring(spark: SparkSession, folder: str) -> DataFrame:
 def _read(spark: SparkSession, folder: str) -> DataFrame:
     """Regions with readings and judgements by rule: same, spaced otherwise, a character off, blank, judged."""
     s, c = F.col("seq"), F.col("content")
-    reader = F.when(s % 8 == 7, "  ").when(s % 4 == 1, F.replace(c, F.lit(" "), F.lit("  "))).when(s % 4 == 2, F.concat(F.substring(c, 2, 1 << 30), F.lit("7"))).otherwise(c)
+    reader = F.when(s % 8 == 7, "  ").when(s % 4 == 1, F.replace(c, F.lit(" "), F.lit("  "))).when(s % 4 == 2, F.concat(F.lit("龘"), F.substring(c, F.lit(1), F.length(c) - 1))).otherwise(c)
     source = F.when(s % 5 == 0, "digital_ocr_lines").when(s % 7 == 0, "document_processor").otherwise("block_content")
     return _regions(spark, folder).select(
         "doc_id", "page_no", "region_id", "seq", F.when(s % 11 == 0, "").otherwise(c).alias("text"), source.alias("text_source"), (s % 13 == 0).alias("structure_agrees"), c.alias("structure_text"),
@@ -107,15 +107,12 @@ def _read(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def apply_reading(spark: SparkSession, folder: str) -> DataFrame:
-    """Agreement as equality of plain texts, so that SQL can say the same."""
-    r = _read(spark, folder)
-    same = F.when(T.plain("text") == T.plain("reader_text"), 1.0).otherwise(0.0)
-    return reading.apply_reading(r, same).select("doc_id", "page_no", "region_id", "final_text", "final_source", "reading_status", "flag")
+    """With the sequence matcher. A reading has the text's characters, or all but the last and one more before them: SQL can say what the matcher gives."""
+    return reading.apply_reading(_read(spark, folder)).select("doc_id", "page_no", "region_id", "final_text", "final_source", "reading_status", "flag")
 
 
 def similarity_judge(spark: SparkSession, folder: str) -> DataFrame:
-    """With the sequence matcher: rows only."""
-    r = _read(spark, folder).select("doc_id", "page_no", "region_id", T.seq_ratio(T.no_space(F.col("text")), T.no_space(F.col("reader_text"))).alias("agreement"), T.nfkc_alnum(F.col("text")).alias("a"), T.nfkc_alnum(F.col("reader_text")).alias("b"))
+    r = _read(spark, folder).select("doc_id", "page_no", "region_id", reading.agreement(F.col("text"), F.col("reader_text")).alias("agreement"), T.nfkc_alnum(F.col("text")).alias("a"), T.nfkc_alnum(F.col("reader_text")).alias("b"))
     return r.select("doc_id", "page_no", "region_id", "agreement", reading.needs_judge(F.col("agreement"), F.col("a"), F.col("b")).alias("needs_judge"))
 
 
@@ -126,9 +123,7 @@ def ocr_review_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reading_status_counts(spark: SparkSession, folder: str) -> DataFrame:
-    r = _read(spark, folder)
-    same = F.when(T.plain("text") == T.plain("reader_text"), 1.0).otherwise(0.0)
-    return reading.status_counts(reading.apply_reading(r, same), ("doc_id",))
+    return reading.status_counts(reading.apply_reading(_read(spark, folder)), ("doc_id",))
 
 
 def read_scope(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,7 +176,7 @@ def model_call_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 def request_keys(spark: SparkSession, folder: str) -> DataFrame:
     t = D.table(spark, folder, "conversations")
-    return t.select("conv_id", "turn", export.request_key([F.col("text"), F.col("role")], F.lit('{"type": "object"}'), F.lit(900), F.lit("m")).alias("key"))
+    return t.select("conv_id", "turn", export.request_key([F.col("text")], [F.concat(F.lit("data:image/png;base64,"), F.base64(F.encode("role", "UTF-8")))], F.lit("labels"), F.lit('{"type": "object"}'), F.lit(900), F.lit("m")).alias("key"))
 
 
 def answer_parsing(spark: SparkSession, folder: str) -> DataFrame:
@@ -202,20 +197,28 @@ QUERIES = {
 
 _PL = "lower(regexp_replace({0}, '[^0-9a-zA-Z가-힣]', '', 'g'))"
 _NS = "regexp_replace({0}, '\\s+', '', 'g')"
+_N3 = "replace(lower(regexp_replace(nfc_normalize({0}), '[^\\p{{L}}\\p{{N}}]', '', 'g')), 'ß', 'ss')"
 _READ = f"""
 rd0 as (
   select doc_id, page_no, region_id, seq, case when seq % 11 = 0 then '' else content end as text, case when seq % 5 = 0 then 'digital_ocr_lines' when seq % 7 = 0 then 'document_processor' else 'block_content' end as src,
     seq % 13 = 0 as agrees, content as st, case when seq % 6 = 0 then (seq % 10) / 10.0::double end as share,
-    case when seq % 8 = 7 then '  ' when seq % 4 = 1 then replace(content, ' ', '  ') when seq % 4 = 2 then substr(content, 2) || '7' else content end as reader,
+    case when seq % 8 = 7 then '  ' when seq % 4 = 1 then replace(content, ' ', '  ') when seq % 4 = 2 then '龘' || substr(content, 1, length(content) - 1) else content end as reader,
     coalesce(case when seq % 3 = 0 then '새로운 단어 ' || substr(content, 1, 20) end, '') as judge, (seq * 3) % 10 / 10.0::double as jc from regions
 ),
 rd as (
   select *, case when {_NS.format("judge")} <> '' then judge else reader end as final,
     text <> '' and (src = 'document_processor' or agrees or coalesce(share >= 0.5, src = 'digital_ocr_lines')) as dig from rd0
 ),
+rn as (select *, {_N3.format("text")} as na, {_N3.format("reader")} as nb, {_N3.format("substr(text, 1, length(text) - 1)")} as common from rd),
+ra as (
+  select *, case when na = nb then 1.0 when na = '' or nb = '' then 0.0 when seq % 8 = 7 or seq % 4 <> 2 then 0.0
+    -- from 200 characters on a match begins at characters that are one in a hundred and rarer
+    when length(nb) >= 200 and len(list_filter(list_distinct(string_split(common, '')), lambda c: c <> '' and length(nb) - length(replace(nb, c, '')) <= length(nb) // 100 + 1)) = 0 then 0.0
+    else 2.0 * length(common) / (length(na) + length(nb)) end::double as agreed from rn
+),
 rs as (
   select *, case when {_NS.format("reader")} = '' then 'vlm_blank' when dig and {_NS.format("text")} = {_NS.format("final")} then 'parser_verified' when dig and agrees then 'parser_verified_by_hwp_structure' when dig then 'parser_preserved'
-    when judge <> '' then 'judge_selected' when text = '' then 'vlm_only' when {_PL.format("text")} = {_PL.format("reader")} then 'agree' else 'disagree' end as status from rd
+    when judge <> '' then 'judge_selected' when text = '' then 'vlm_only' when agreed >= 0.95 then 'agree' else 'disagree' end as status from ra
 )"""
 _EXPORTED = """
 ex as (
@@ -283,6 +286,6 @@ select doc_id, page_no, region_id, base as "all", base and doubt as targeted, fa
     "model_call_stats": """
 with c as (select event_type as schema, event_id % 3 = 0 as cached, round(abs(value) * 100)::bigint as seconds, 1 + event_id % 3 as attempts, event_id % 50 = 0 as timed_out from events)
 select coalesce(schema, 'total') as schema, count(*) as calls, count_if(cached) as cached, sum(seconds)::bigint as seconds, sum(attempts)::bigint as attempts, count_if(timed_out) as timeouts from c group by rollup(schema)""",
-    "request_keys": """select conv_id, turn, sha256(length(coalesce(text, '')) || ':' || coalesce(text, '') || length(role) || ':' || role || '18:{"type": "object"}' || '3:900' || '1:m') as key from conversations""",
+    "request_keys": """select conv_id, turn, sha256('T' || coalesce(text, '') || 'I' || coalesce('data:image/png;base64,' || to_base64(encode(role)), '') || 'Slabels{"type": "object"}|900|m') as key from conversations""",
     "answer_parsing": "select event_id, case when event_id % 20 = 3 then null else (json_extract(props, '$.k'))::bigint end as k from events",
 }

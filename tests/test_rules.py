@@ -62,7 +62,7 @@ def test_common_labels_are_in_all_templates(spark):
 def test_private_glyphs_give_way_to_what_structure_and_reading_say(spark):
     row = [(" 동의", "digital_lines", True, "동의", None, "☑ 동의", None, None)]
     df = spark.createDataFrame(row, "text string, text_source string, structure_agrees boolean, structure_text string, digital_share double, reader_text string, judge_text string, judge_confidence double")
-    found = reading.apply_reading(df, F.lit(0.5)).first()
+    found = reading.apply_reading(df).first()
     assert (found["reading_status"], found["final_text"], found["final_source"]) == ("vlm_glyph_verified_by_hwp_structure", "☑ 동의", "vlm_structure_verified")
 
 
