@@ -25,7 +25,7 @@ from .scratch import as_bytes, store
 #: Words of the recurrent model, and words whose counts are sent to all tasks.
 MODEL_WORDS, SENT_WORDS = 4096, 1 << 18
 #: Rounds of averaging, the rate of the first, and the pieces that a task's weights are passed on in: a task that averages holds pieces, not models.
-ROUNDS, RATE, PIECES = 8, 0.02, 256
+ROUNDS, RATE, PIECES = 8, 0.03, 256
 #: A task passes its counts on when it holds so many words.
 _HELD_WORDS = 1 << 19
 #: Steps of the scale of counts per doubling.

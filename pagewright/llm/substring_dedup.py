@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .scratch import as_bytes, store
 
 RUN_SENTENCES, RUN_WORDS, LONG_WORDS, CUT_ONE_IN, SEED = 3, 20, 16, 5, 7
+#: A run has fewer than 2 to so many sentences: it ends where it has RUN_WORDS words.
+_PLACE_BITS = 16
 _SENTENCE = re.compile(rb"[^\n.!?]+(?:[.!?]+(?!\s|\Z)[^\n.!?]*)*[.!?]*|[.!?]+")
 _SPACED = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -87,7 +89,7 @@ def runs(found: list[tuple[int, int, int, int, bool]]) -> list[tuple[int, int, b
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_no, run and proof (the halves of its hash), first, length of every run of a text; again: the same text has the run further up."""
+    """doc_id, text_no, run and proof (96 bits of its hash), place (first sentence above length) of every run of a text; again: the same text has the run further up."""
     for batch in batches:
         rows, hashes, firsts, lengths, again = [], [], [], [], []
         for row, raw in enumerate(as_bytes(batch.column(2))):
@@ -102,10 +104,11 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             firsts += first
             lengths += length
         at = pa.array(rows, pa.int64())
-        halves = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+        half = np.frombuffer(b"".join(hashes), [("run", "<i8"), ("proof", "<i4"), ("more", "<i4")])
+        place = (np.array(firsts, np.int64) << _PLACE_BITS) + np.array(lengths, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), pa.array(firsts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(again, pa.bool_())],
-            ["doc_id", "text_no", "run", "proof", "first", "length", "again"],
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(half["run"].copy()), pa.array(half["proof"].copy()), pa.array(place), pa.array(again, pa.bool_())],
+            ["doc_id", "text_no", "run", "proof", "place", "again"],
         )
 
 
@@ -136,7 +139,7 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int,
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         known = batch.column(2).to_pylist()
-        done = [without(raw, [(x["first"], x["length"]) for x in gone]) if gone else (raw, 0, 0, []) for raw, gone in zip(as_bytes(batch.column(1)), known, strict=True)]
+        done = [without(raw, [(x >> _PLACE_BITS, x & (1 << _PLACE_BITS) - 1) for x in gone]) if gone else (raw, 0, 0, []) for raw, gone in zip(as_bytes(batch.column(1)), known, strict=True)]
         texts, counts, words, spans = zip(*done, strict=True) if done else ([], [], [], [])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
@@ -155,22 +158,23 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_no"), text.alias("text"))
     # Texts are parsed once; what is found is met twice, from a written table.
-    spans = store(named.mapInArrow(_spans, "doc_id long, text_no long, run long, proof long, first int, length int, again boolean"), "substring_spans")
-    # Plain longs, so copies of a run meet in hash maps before the shuffle. A null id is after all others. A run is both halves of its hash:
-    # at 10^12 runs one half alone would meet by chance.
-    run = ["run", "proof"]
+    spans = store(named.mapInArrow(_spans, "doc_id long, text_no long, run long, proof int, place long, again boolean"), "substring_spans")
+    # Plain longs, so copies of a run meet in hash maps before the shuffle. A null id is after all others. A run is 96 bits of its hash:
+    # at 10^12 runs 64 of them would meet by chance.
+    run, kinds = ["run", "proof"], ["doc_id", "text_no", "place"]
     order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
-    least = spans.groupBy(run).agg(F.min(order).alias("first_doc"), F.max(order).alias("last_doc"), F.min("text_no").alias("least_no"), F.max("text_no").alias("most_no"))
-    repeated = store(least.where("first_doc < last_doc or least_no < most_no").select(*run, "first_doc"), "substring_runs")
-    kinds = ("doc_id", "text_no", "first", "length")
-    covered = store(spans.withColumn("order", order).join(repeated, run).select(*run, *kinds, "order", "first_doc"), "substring_met")
+    name = F.xxhash64("doc_id", "text_no")
+    least = spans.groupBy(run).agg(F.min(order).alias("first_doc"), F.min(name).alias("least_name"), F.max(name).alias("most_name"))
+    repeated = store(least.where("least_name < most_name").select(*run, "first_doc"), "substring_runs")
+    met = spans.select(*run, *kinds).join(repeated, run)
+    covered = store(met.select(*run, *kinds, (order > F.col("first_doc")).alias("later")), "substring_met")
     # Different texts that share the run's smallest id: the smaller hash comes first.
-    tied = covered.where("order = first_doc")
+    tied = covered.where("not later")
     firsts = tied.groupBy(run).agg(F.min("text_no").alias("first_no"), F.max("text_no").alias("last_no"))
     tied = tied.join(store(firsts.where("first_no < last_no"), "substring_same"), run).where("text_no > first_no")
-    found_again = covered.where("order > first_doc").select(*kinds).unionByName(tied.select(*kinds))
+    found_again = covered.where("later").select(*kinds).unionByName(tied.select(*kinds))
     gone = found_again.unionByName(spans.where("again").select(*kinds)).distinct()
-    per_text = gone.groupBy("doc_id", "text_no").agg(F.collect_list(F.struct("first", "length")).alias("gone"))
+    per_text = gone.groupBy("doc_id", "text_no").agg(F.collect_list("place").alias("gone"))
     per_text = store(per_text.withColumnsRenamed({"doc_id": "of_id", "text_no": "of_no"}), "substring_gone")
     joined = named.join(per_text, (F.col("text_no") == F.col("of_no")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(_removed, "doc_id long, text string, n_removed long, removed_words long, spans array<struct<begin: long, end: long>>")
