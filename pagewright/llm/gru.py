@@ -16,6 +16,7 @@ import numpy as np
 CLASS_WORDS, STATE, EMBED, STEPS = 64, 32, 24, 32
 # Numbers of two settings of glibc's allocator.
 _MMAP_THRESHOLD, _TRIM_THRESHOLD = -3, -1
+_SETTLED = 1 << 13  # states whose probabilities are worked out together
 _GROUP = 1024  # texts that are scored side by side
 _TOP_LOGIT, _TINY = np.float32(75), np.float32(1e-30)
 _CHUNK = 1 << 18  # symbols that are laid out side by side to be learned from
@@ -78,16 +79,21 @@ def _class_of(model: Gru, symbols: np.ndarray) -> np.ndarray:
     return np.where(symbols < model.n_words, symbols // CLASS_WORDS, len(model.v) + symbols - model.n_words)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def step(model: Gru, h: np.ndarray, x: np.ndarray) -> np.ndarray:
     """The next state, h and x of as many rows; x: what the inputs add to the gates."""
     u = h @ model.u
-    gates = _sigmoid(x[:, : 2 * STATE] + u[:, : 2 * STATE])
-    n = np.tanh(x[:, 2 * STATE :] + gates[:, STATE:] * u[:, 2 * STATE :])
-    return n + gates[:, :STATE] * (h - n)
+    gates = x[:, : 2 * STATE] + u[:, : 2 * STATE]
+    gates *= gates.dtype.type(0.5)  # sigmoid(x) = (1 + tanh(x / 2)) / 2
+    np.tanh(gates, out=gates)
+    gates += gates.dtype.type(1)
+    gates *= gates.dtype.type(0.5)
+    n = gates[:, STATE:] * u[:, 2 * STATE :]
+    n += x[:, 2 * STATE :]
+    np.tanh(n, out=n)
+    h = h - n
+    h *= gates[:, :STATE]
+    h += n
+    return h
 
 
 def _keep_memory() -> None:
@@ -130,7 +136,19 @@ def log_probs(model: Gru, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
 
 def score(model: Gru, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each text, a sequence of symbols that ends with `end`; states go from window to window to its end."""
+    _keep_memory()
     total, inputs = np.zeros(len(texts)), model.w
+    states, who, what, held = [], [], [], 0
+
+    def settle() -> None:
+        """Adds up the probabilities of all states so far: long texts, of which there are few, are put together over windows."""
+        nonlocal held
+        if held:
+            total[:] += np.bincount(np.concatenate(who), log_probs(model, np.concatenate(states), np.concatenate(what)), len(texts))
+        for x in (states, who, what):
+            x.clear()
+        held = 0
+
     by_length = np.argsort([-len(t) for t in texts], kind="stable")
     for g in range(0, len(texts), _GROUP):
         group = by_length[g : g + _GROUP]
@@ -145,17 +163,18 @@ def score(model: Gru, texts: list[np.ndarray]) -> np.ndarray:
                 piece = texts[group[k]][at : at + width]
                 target[k, : len(piece)] = piece
             source = np.concatenate([last[:n, None], target[:, :-1]], axis=1)
-            states, who, what = [], [], []
             h = h[:n]
             for t in range(width):
                 m = int((lengths > at + t).sum()) if lengths[n - 1] <= at + t else n
                 h[:m] = step(model, h[:m], inputs[source[:m, t]])
                 states.append(h[:m].copy())
-                who.append(np.arange(m))
+                who.append(group[:m])
                 what.append(target[:m, t])
-            who = np.concatenate(who)
-            total[group[:n]] += np.bincount(who, log_probs(model, np.concatenate(states), np.concatenate(what)), n)
+                held += m
+            if held >= _SETTLED:
+                settle()
             last = target[:, -1]
+    settle()
     return total
 
 
@@ -252,7 +271,7 @@ def fit(model: Gru, texts: Iterable[np.ndarray], rows: int = 512, rate: float =
     def train(stream: np.ndarray) -> np.ndarray:
         """Trains on the stream's symbols after the first; what is left of it, under a symbol for each row."""
         nonlocal n, seen, loss, full
-        across = max(1, min(rows, (len(stream) - 1) // (4 * STEPS)))
+        across = max(1, min(rows, (len(stream) - 1) // (16 * STEPS)))
         length = (len(stream) - 1) // across
         source, target = (stream[k : across * length + k].reshape(across, length) for k in (0, 1))
         h = np.zeros((across, STATE), np.float32)

@@ -2,14 +2,13 @@
 
 Counts cover every training document. The most frequent words go to all tasks (a bounded table); the others are met by a
 join of the words with their counts. The recurrent weights are fitted on every training document too, once each: documents are dealt
-to rounds by a hash of their symbols, in a round every task goes over its own from the weights of the round before, and the tasks'
+to rounds in turn, copies too, in a round every task goes over its own from the weights of the round before, and the tasks'
 weights are averaged by their numbers of symbols.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -82,10 +81,11 @@ def _symbols(sent, rounds: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, other, end = sent.value
-        get = {w: k for k, w in enumerate(words)}.get
+        get, seen = {w: k for k, w in enumerate(words)}.get, TaskContext.get().partitionId()
         for batch in batches:
             texts = [np.array([*(get(w, other) for w in words_of(raw)), end], "<u2").tobytes() for raw in as_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(x) % rounds for x in texts], pa.int32()), pa.array(texts, pa.binary())], ["round_no", "symbols"])
+            yield pa.RecordBatch.from_arrays([pa.array((seen + np.arange(len(texts))) % rounds, pa.int32()), pa.array(texts, pa.binary())], ["round_no", "symbols"])
+            seen += len(texts)
 
     return run
 
