@@ -214,8 +214,10 @@ def document_languages(docs: DataFrame, languages: Sequence[str] = LANGUAGES) ->
 def keep_known(docs: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFrame:
     """docs without the documents that document_languages() rejects."""
     plain, names = masked(docs)
-    scored = with_text_evidence(plain, names["text"], fit_text_model(docs, languages=languages))
-    return fuse(scored, *_document_signs(F.col(names["source"]), F.col(names["text"])), languages).where(F.col("lang_id") != NONE).select(plain.columns).toDF(*docs.columns)
+    host, domain, signs = _document_signs(F.col(names["source"]), F.col(names["text"]))
+    known = plain.withColumns({"host": host, "domain": domain, **signs})  # looked for in the text once
+    scored = with_text_evidence(known, names["text"], fit_text_model(docs, languages=languages))
+    return fuse(scored, F.col("host"), F.col("domain"), {k: F.col(k) for k in signs}, languages).where(F.col("lang_id") != NONE).select(plain.columns).toDF(*docs.columns)
 
 
 _MARKUP = re.compile(rb"<(?:(script|style)\b|(!--))|<[^<>]*>?|&[a-z#0-9]+;?", re.I)
