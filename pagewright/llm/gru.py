@@ -16,10 +16,12 @@ import numpy as np
 CLASS_WORDS, STATE, EMBED, STEPS = 64, 32, 24, 32
 # Numbers of two settings of glibc's allocator.
 _MMAP_THRESHOLD, _TRIM_THRESHOLD = -3, -1
-_SETTLED = 1 << 13  # states whose probabilities are worked out together
+_SETTLED = 1 << 15  # states whose probabilities are worked out together
 _GROUP = 1024  # texts that are scored side by side
 _TOP_LOGIT, _TINY = np.float32(75), np.float32(1e-30)
 _CHUNK = 1 << 18  # symbols that are laid out side by side to be learned from
+_LONG_RUN = 16  # rows that are added up by a matrix product
+_BLOCK = 1 << 11  # states whose probabilities are held at once, few enough for a core's own memory
 
 
 @dataclass
@@ -79,14 +81,19 @@ def _class_of(model: Gru, symbols: np.ndarray) -> np.ndarray:
     return np.where(symbols < model.n_words, symbols // CLASS_WORDS, len(model.v) + symbols - model.n_words)
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)) in place; half the time of a hyperbolic tangent. An exp that overflows gives the right 0."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += x.dtype.type(1)
+    return np.reciprocal(x, out=x)
+
+
 def step(model: Gru, h: np.ndarray, x: np.ndarray) -> np.ndarray:
     """The next state, h and x of as many rows; x: what the inputs add to the gates."""
     u = h @ model.u
-    gates = x[:, : 2 * STATE] + u[:, : 2 * STATE]
-    gates *= gates.dtype.type(0.5)  # sigmoid(x) = (1 + tanh(x / 2)) / 2
-    np.tanh(gates, out=gates)
-    gates += gates.dtype.type(1)
-    gates *= gates.dtype.type(0.5)
+    gates = _sigmoid(x[:, : 2 * STATE] + u[:, : 2 * STATE])
     n = gates[:, STATE:] * u[:, 2 * STATE :]
     n += x[:, 2 * STATE :]
     np.tanh(n, out=n)
@@ -110,12 +117,36 @@ def _by_class(model: Gru, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return cls, order, np.searchsorted(cls[order], np.arange(len(model.v) + 1))
 
 
-def _exp(logits: np.ndarray) -> np.ndarray:
-    """exp in place. States lie in (-1, 1), so logits stay small; the bound only keeps a sum from overflowing."""
-    np.minimum(logits, _TOP_LOGIT, out=logits)
+def _may_exceed(model: Gru) -> tuple[bool, np.ndarray]:
+    """Whether a logit can pass _TOP_LOGIT, of classes and within each class: states lie in [-1, 1], so the weights bound it."""
+    return bool((np.abs(model.c).sum(axis=0) + model.cb).max() > _TOP_LOGIT), (np.abs(model.v).sum(axis=1) + model.vb).max(axis=1) > _TOP_LOGIT
+
+
+def _exp(logits: np.ndarray, bias: np.ndarray, bounded: bool) -> np.ndarray:
+    """exp(logits + bias) in place; the bound only keeps a sum from overflowing."""
+    logits += bias
+    if bounded:
+        np.minimum(logits, _TOP_LOGIT, out=logits)
     return np.exp(logits, out=logits)
 
 
+def _sums(rows: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The sums of rows from each begin to the next. Long runs, most of the rows, are matrix products, ten times as fast."""
+    lengths = np.diff(begins, append=len(rows))
+    out, long = np.empty((len(begins), rows.shape[1]), rows.dtype), lengths >= _LONG_RUN
+    for k in np.flatnonzero(long):
+        out[k] = np.ones(lengths[k], rows.dtype) @ rows[begins[k] : begins[k] + lengths[k]]
+    if not long.all():
+        short = ~long
+        rest = np.cumsum(lengths[short]) - lengths[short]
+        out[short] = np.add.reduceat(rows[np.repeat(short, lengths)], rest)
+    return out
+
+
+def _blocks(begin: int, end: int) -> list[slice]:
+    return [slice(k, min(k + _BLOCK, end)) for k in range(begin, end, _BLOCK)]
+
+
 def _row_sums(p: np.ndarray) -> np.ndarray:
     return p @ np.ones(p.shape[1], p.dtype)  # a matrix product, several times as fast as a sum of short rows
 
@@ -123,15 +154,17 @@ def _row_sums(p: np.ndarray) -> np.ndarray:
 def log_probs(model: Gru, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Natural logs of P(symbol | state)."""
     cls, order, edges = _by_class(model, symbols)
-    p = _exp(h @ model.c + model.cb)
-    out = np.log(p[np.arange(len(cls)), cls] / _row_sums(p) + _TINY)
-    h = h[order]
+    any_large, large = _may_exceed(model)
+    share, within = np.empty(len(cls), h.dtype), np.ones(len(cls), h.dtype)
+    for at in _blocks(0, len(cls)):
+        p = _exp(h[at] @ model.c, model.cb, any_large)
+        share[at] = p[np.arange(len(p)), cls[at]] / _row_sums(p)
+    h, own = h.take(order, axis=0), symbols[order]
     for k in np.flatnonzero(np.diff(edges)):
-        at = slice(edges[k], edges[k + 1])
-        p = _exp(h[at] @ model.v[k] + model.vb[k])
-        own = symbols[order[at]] - k * CLASS_WORDS
-        out[order[at]] += np.log(p[np.arange(len(own)), own] / _row_sums(p) + _TINY)
-    return out
+        for at in _blocks(edges[k], edges[k + 1]):
+            p = _exp(h[at] @ model.v[k], model.vb[k], large[k])
+            within[order[at]] = p[np.arange(len(p)), own[at] - k * CLASS_WORDS] / _row_sums(p)
+    return np.log(share + _TINY) + np.log(within + _TINY)
 
 
 def score(model: Gru, texts: list[np.ndarray]) -> np.ndarray:
@@ -183,8 +216,7 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
     rows, steps = source.shape
     size, kind, inputs, symbols = rows * steps, model.u.dtype, source.T.ravel(), target.T.ravel()
     goes_on = (source.T != model.end).astype(kind)[:, :, None]  # a text begins with no state
-    embedded = model.e[inputs]
-    xs = (embedded @ model.p + model.b).reshape(steps, rows, 3 * STATE)
+    xs = model.w.take(inputs, axis=0).reshape(steps, rows, 3 * STATE)
     before, states = np.empty((steps, rows, STATE), kind), np.empty((steps, rows, STATE), kind)
     gates, news, ups = np.empty((steps, rows, 2 * STATE), kind), np.empty((steps, rows, STATE), kind), np.empty((steps, rows, STATE), kind)
     h, u = h0, np.empty((rows, 3 * STATE), kind)
@@ -193,10 +225,7 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
         np.matmul(before[t], model.u, out=u)
         g, n = gates[t], news[t]
         np.add(xs[t, :, : 2 * STATE], u[:, : 2 * STATE], out=g)
-        np.multiply(g, kind.type(0.5), out=g)  # sigmoid(x) = (1 + tanh(x / 2)) / 2
-        np.tanh(g, out=g)
-        g += kind.type(1)
-        g *= kind.type(0.5)
+        _sigmoid(g)
         ups[t] = u[:, 2 * STATE :]
         np.multiply(g[:, STATE:], ups[t], out=n)
         n += xs[t, :, 2 * STATE :]
@@ -207,26 +236,31 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
         h += n
     last, flat = h.copy(), states.reshape(size, STATE)
 
-    grads = {k: np.zeros_like(getattr(model, k)) for k in ("e", "v", "vb")}
+    grads = {k: np.zeros_like(getattr(model, k)) for k in ("e", "c", "cb", "v", "vb")}
     cls, order, edges = _by_class(model, symbols)
-    p, at = _exp(flat @ model.c + model.cb), np.arange(size)
-    p *= (1 / _row_sums(p))[:, None]
-    loss = -float(np.log(p[at, cls] + _TINY).sum())
-    p[at, cls] -= 1
-    grads["c"], grads["cb"] = flat.T @ p, np.ones(size, kind) @ p
-    d_states = p @ model.c.T
-    by_class, own, d_own = flat[order], symbols[order], np.zeros((size, STATE), kind)
+    any_large, large = _may_exceed(model)
+    loss, d_states, d_own = 0.0, np.empty((size, STATE), kind), np.zeros((size, STATE), kind)
+    by_class, own = flat.take(order, axis=0), symbols[order]
+
+    def learn(x: np.ndarray, weights: np.ndarray, bias: np.ndarray, bounded: bool, aim: np.ndarray, d_weights: np.ndarray, d_bias: np.ndarray) -> np.ndarray:
+        """Adds up what a block of states gives for a softmax over aims; what goes back to the states."""
+        nonlocal loss
+        p, at = _exp(x @ weights, bias, bounded), np.arange(len(x))
+        p *= (1 / _row_sums(p))[:, None]
+        loss -= float(np.log(p[at, aim] + _TINY).sum())
+        p[at, aim] -= 1
+        d_weights += x.T @ p
+        d_bias += np.ones(len(x), kind) @ p
+        return p @ weights.T
+
+    for at in _blocks(0, size):
+        d_states[at] = learn(flat[at], model.c, model.cb, any_large, cls[at], grads["c"], grads["cb"])
     for k in np.flatnonzero(np.diff(edges)):
-        part = slice(edges[k], edges[k + 1])
-        x = by_class[part]
-        q, at = _exp(x @ model.v[k] + model.vb[k]), np.arange(len(x))
-        q *= (1 / _row_sums(q))[:, None]
-        word = own[part] - k * CLASS_WORDS
-        loss -= float(np.log(q[at, word] + _TINY).sum())
-        q[at, word] -= 1
-        grads["v"][k], grads["vb"][k] = x.T @ q, np.ones(len(x), kind) @ q
-        d_own[part] = q @ model.v[k].T
-    d_states[order] += d_own
+        for at in _blocks(edges[k], edges[k + 1]):
+            d_own[at] = learn(by_class[at], model.v[k], model.vb[k], large[k], own[at] - k * CLASS_WORDS, grads["v"][k], grads["vb"][k])
+    place = np.empty_like(order)
+    place[order] = np.arange(size)
+    d_states += d_own.take(place, axis=0)
     d_states = d_states.reshape(steps, rows, STATE)
 
     # Whatever follows from the states alone is worked out for all steps at once; the way back has only what passes from step to step.
@@ -250,10 +284,10 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
     d_x[:, :, : 2 * STATE] = d_us[:, :, : 2 * STATE]
     grads["u"] = before.reshape(size, STATE).T @ d_us.reshape(size, 3 * STATE)
     d_x = d_x.reshape(size, 3 * STATE)
-    grads["p"], grads["b"] = embedded.T @ d_x, np.ones(size, kind) @ d_x
+    grads["p"], grads["b"] = model.e.take(inputs, axis=0).T @ d_x, np.ones(size, kind) @ d_x
     order = np.argsort(inputs.astype(np.uint16), kind="stable")
     begins = np.flatnonzero(np.diff(inputs[order], prepend=-1))
-    grads["e"][inputs[order][begins]] = np.add.reduceat((d_x @ model.p.T)[order], begins)
+    grads["e"][inputs[order[begins]]] = _sums((d_x @ model.p.T).take(order, axis=0), begins)
     for g in grads.values():
         g *= kind.type(1 / size)
     return last, grads, loss / size

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -68,8 +69,7 @@ class Scorer:
     def codes(self, words: list[bytes]) -> np.ndarray:
         if self.index is None:
             self.index = {w: k for k, w in enumerate(self.words)}
-        get = self.index.get
-        return np.array([get(w, -1) for w in words], np.int32)
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int32, len(words))
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         model = self.model
@@ -83,7 +83,7 @@ def _symbols(sent, rounds: int):
         words, other, end = sent.value
         get, seen = {w: k for k, w in enumerate(words)}.get, TaskContext.get().partitionId()
         for batch in batches:
-            texts = [np.array([*(get(w, other) for w in words_of(raw)), end], "<u2").tobytes() for raw in as_bytes(batch.column(0))]
+            texts = [np.fromiter(chain(map(get, words_of(raw), repeat(other)), (end,)), "<u2").tobytes() for raw in as_bytes(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array((seen + np.arange(len(texts))) % rounds, pa.int32()), pa.array(texts, pa.binary())], ["round_no", "symbols"])
             seen += len(texts)
 
