@@ -64,8 +64,8 @@ def children(links: DataFrame) -> DataFrame:
 
 
 def assembled(owned: DataFrame) -> DataFrame:
-    """Per region: line_text (trimmed lines by place), n_lines, digital_share (of characters, null without any), has_digital, texts."""
-    size = F.length(T.no_space("text"))
+    """Per region: line_text (trimmed lines by place), n_lines, digital_share (of characters, case folded, null without any), has_digital, texts."""
+    size = F.length(T.no_space_lower("text"))
     ordered = F.array_sort(F.collect_list(F.struct("y0", "x0", "i", F.trim("text").alias("t"))))
     parts = F.filter(F.transform(ordered, lambda s: s["t"]), lambda t: t != "")
     total = F.sum(F.when(F.col("source").isin("digital", "ocr"), size))

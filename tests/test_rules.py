@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as T
+from pagewright.operators import assign
 from pagewright.operators import labels as L
 from pagewright.operators import reading
 from pagewright.operators import templates as M
@@ -27,6 +28,12 @@ def test_normal_forms(spark):
     assert one(spark, T.nullable(F.col("t")), t="  ") is None
 
 
+def test_digital_share_counts_folded_characters(spark):
+    lines = [(1, 1, "r", 0, 0, 0, "ß ß", "digital"), (1, 1, "r", 1, 0, 1, "a b", "ocr")]
+    owned = spark.createDataFrame(lines, "doc_id long, page_no long, region_id string, y0 long, x0 long, i long, text string, source string")
+    assert assign.assembled(owned).first()["digital_share"] == pytest.approx(4 / 6)
+
+
 def test_quotes(spark):
     assert one(spark, L.quoted(F.col("q"), F.col("s")), q="심의필 2026-0000(2026.0…", s="준법감시인 | 심의필 2026-0000(2026.01.02)")
     assert not one(spark, L.quoted(F.col("q"), F.col("s")), q="a.b", s="a:b")
