@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from .scratch import store
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = store(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "star_both")
-    least = store(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star_least")
+#: Edges to a file of the tables between rounds, if that makes more files than twice the cluster's cores.
+FILE_EDGES = 250_000
+
+
+def _large_star(edges: DataFrame, files: int) -> DataFrame:
+    both = store(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "star_both", files=files)
+    least = store(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star_least", files=files)
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = store(edges.groupBy("u").agg(F.min("v").alias("m")), "star_least")
+def _small_star(edges: DataFrame, files: int) -> DataFrame:
+    least = store(edges.groupBy("u").agg(F.min("v").alias("m")), "star_least", files=files)
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.withColumnRenamed("m", "v")).distinct()
 
@@ -29,8 +33,10 @@ def components(edges: DataFrame, left: str = "a", right: str = "b", most_rounds:
     edges = store(edges, "star_edges")
     print_of = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     seen = print_of(edges)
+    # No round makes more edges than there are, so their number fixes that of the files.
+    files = max(2 * edges.sparkSession.sparkContext.defaultParallelism, -(-seen[0] // FILE_EDGES))
     for _ in range(most_rounds):
-        edges = store(_small_star(store(_large_star(edges), "star_large")), "star_small")
+        edges = store(_small_star(store(_large_star(edges, files), "star_large", files=files), files), "star_small", files=files)
         now = print_of(edges)
         if now == seen:
             break

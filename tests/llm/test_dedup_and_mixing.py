@@ -206,3 +206,26 @@ def test_repeats_go_to_their_last_sentence(spark):
     rows = [(1, f"Alpha begins. {passage} Beta ends here."), (2, f"Gamma is new. {passage} Delta is last."), (3, f"some more {plain} and others"), (4, f"quite different {plain} at its end")]
     got = {r["doc_id"]: r["text"] for r in substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[2] == "Gamma is new. Delta is last." and got[1] == rows[0][1] and "word40" not in got[4]
+
+
+def test_files_between_rounds_follow_the_number_of_edges(spark, monkeypatch):
+    made, store = [], components.store
+
+    def kept(df, name, **more):
+        made.append((name, store(df, name, **more)))
+        return made[-1][1]
+
+    monkeypatch.setattr(components, "store", kept)
+    most = 2 * spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": str(5 * most), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.range(40 * most).select((F.col("id") * 2).alias("a"), (F.col("id") * 2 + 1).alias("b"))
+        got = components.components(edges).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["node"]: r["root"] for r in got} == {k: k - k % 2 for k in range(80 * most)}
+    assert max(len(df.inputFiles()) for name, df in made if name != "star_edges") <= most
