@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import as_bytes, masked, store
+from .scratch import as_bytes, frugal, masked, store
 
 LANGUAGES = ("de", "en", "es", "fr")
 NONE = "und"
@@ -64,7 +64,7 @@ def fit_text_model(labelled: DataFrame, label: str = "lang", text: str = "text",
     labelled = labelled.where(F.col(label).isin(*languages) & F.col(text).isNotNull())
     share = most / max(most, labelled.count())
     chosen = labelled.where(F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") < share * 2.0**32)
-    grams = chosen.select(F.col(label).alias("lang"), F.col(text).alias("text")).mapInArrow(_gram_counts, "lang string, bucket long, n long")
+    grams = chosen.select(F.col(label).alias("lang"), F.col(text).alias("text")).mapInArrow(frugal(_gram_counts), "lang string, bucket long, n long")
     table = np.zeros((BUCKETS, len(languages) + 1))
     summed = grams.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows a language at most
     table[summed["bucket"].to_numpy(), [languages.index(x) for x in summed["lang"].to_pylist()]] = summed["n"].to_numpy()
@@ -112,7 +112,7 @@ def _scored(model: np.ndarray, text_at: int, text_of: Callable[[bytes], bytes] |
 def with_text_evidence(df: DataFrame, text_col: str, model: np.ndarray, text_of: Callable[[bytes], bytes] | None = None) -> DataFrame:
     """df with pw_text, the text evidence per language; text_of makes a text of the column's bytes (markup off a page)."""
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(_scored(model, df.columns.index(text_col), text_of), f"{fields}, pw_text array<double>")
+    return df.mapInArrow(frugal(_scored(model, df.columns.index(text_col), text_of)), f"{fields}, pw_text array<double>")
 
 
 def _names(languages: Sequence[str]) -> tuple[str, ...]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import as_bytes, masked, store
+from .scratch import as_bytes, frugal, masked, store
 
 SHINGLE_WORDS, SEED, MOST_BITS, N_BYTES = 4, 42, 4, 8
 SHARED = N_BYTES - MOST_BITS
@@ -148,17 +148,17 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(fps: DataFrame) -> DataFrame:
     """a, b: for every two linked fingerprints of fps(fp), no fp twice, a path of links between them, perhaps over others."""
-    listed = lambda of: of.mapInArrow(_listed, "list long, fp long")
+    listed = lambda of: of.mapInArrow(frugal(_listed), "list long, fp long")
     shown = listed(fps.where(F.pmod(F.xxhash64("fp"), F.lit(SHOWN)) == 0)).groupBy("list").count().where(F.col("count") >= LARGE)
     large = store(shown.select("list", F.lit(True).alias("large")), "simhash_large")
-    parts = listed(fps).join(large, "list", "left").select("list", "fp", "large").mapInArrow(_split, "list long, part long, fp long")
-    return parts.repartition("list", "part").sortWithinPartitions("list", "part", "fp").mapInArrow(_links, "a long, b long")
+    parts = listed(fps).join(large, "list", "left").select("list", "fp", "large").mapInArrow(frugal(_split), "list long, part long, fp long")
+    return parts.repartition("list", "part").sortWithinPartitions("list", "part", "fp").mapInArrow(frugal(_links), "a long, b long")
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text_no (a hash of the text), fp, component_id, root (the component's smallest fingerprint) of every row."""
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_no"), F.col(text_col).alias("text"))
-    rows = store(named.mapInArrow(_fingerprints, "doc_id long, text_no long, fp long"), "simhash_rows")
+    rows = store(named.mapInArrow(frugal(_fingerprints), "doc_id long, text_no long, fp long"), "simhash_rows")
     kinds = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash_kinds")
     labels = store(components(store(links(kinds.select("fp")), "simhash_links")), "simhash_labels")
     joined = labels.join(kinds, F.col("node") == F.col("fp")).select("node", "root", "least_id")

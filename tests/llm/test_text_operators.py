@@ -12,10 +12,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagewright.llm import chat_format, gru, html_extract, language_id, lm_score, packing, tokens, topk
+from pagewright.llm import chat_format, gru, html_extract, language_id, lm_score, packing, scratch, tokens, topk
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids string, part string"
@@ -34,6 +35,24 @@ def test_languages_held_out(spark, small):
     assert sum(r["kept"] for r in got.values()) >= 0.99 * len(got)
 
 
+def held_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+
+def test_workers_give_memory_back():
+    texts = [f"{k} " + "lorem ipsum dolor " * 150 for k in range(10_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    run = scratch.frugal(language_id._scored(np.zeros((language_id.BUCKETS, 5), np.float32), 1, None))
+    scratch.give_back()
+    before, most, ids = held_mb(), 0.0, []
+    for out in run(iter([batch, batch.slice(0, 0)])):
+        most, ids = max(most, held_mb()), ids + out.column(0).to_pylist()
+    del out
+    assert ids == list(range(len(texts)))
+    assert most < before + 25 and held_mb() < before + 15
+
+
 def test_noise_and_nothing_are_rejected(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
     noise = "".join(chr(0x4E00 + k * 37 % 9000) for k in range(400))
