@@ -53,6 +53,15 @@ def test_workers_give_memory_back():
     assert most < before + 25 and held_mb() < before + 15
 
 
+def test_languages_are_found_slice_by_slice(spark, monkeypatch):
+    docs, taken = table(spark, [(1, "a text", "en", "s")]).select("doc_id", "text"), []
+    given = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *rest, **named: taken.append(f) or given(self, f, *rest, **named))
+    language_id.with_text_evidence(docs, "text", np.zeros((language_id.BUCKETS, 5), np.float32))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500)), pa.array(["a text"] * 2500)], ["doc_id", "text"])
+    assert [b.num_rows for b in taken[0](iter([batch]))] == [1000, 1000, 500]
+
+
 def test_noise_and_nothing_are_rejected(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
     noise = "".join(chr(0x4E00 + k * 37 % 9000) for k in range(400))
