@@ -216,19 +216,20 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
     rows, steps = source.shape
     size, kind, inputs, symbols = rows * steps, model.u.dtype, source.T.ravel(), target.T.ravel()
     goes_on = (source.T != model.end).astype(kind)[:, :, None]  # a text begins with no state
-    xs = model.w.take(inputs, axis=0).reshape(steps, rows, 3 * STATE)
+    by_symbol, source = model.w, inputs.reshape(steps, rows)
     before, states = np.empty((steps, rows, STATE), kind), np.empty((steps, rows, STATE), kind)
     gates, news, ups = np.empty((steps, rows, 2 * STATE), kind), np.empty((steps, rows, STATE), kind), np.empty((steps, rows, STATE), kind)
-    h, u = h0, np.empty((rows, 3 * STATE), kind)
+    h, u, x = h0, np.empty((rows, 3 * STATE), kind), np.empty((rows, 3 * STATE), kind)
     for t in range(steps):
         np.multiply(h, goes_on[t], out=before[t])
         np.matmul(before[t], model.u, out=u)
+        by_symbol.take(source[t], axis=0, out=x, mode="clip")
         g, n = gates[t], news[t]
-        np.add(xs[t, :, : 2 * STATE], u[:, : 2 * STATE], out=g)
+        np.add(x[:, : 2 * STATE], u[:, : 2 * STATE], out=g)
         _sigmoid(g)
         ups[t] = u[:, 2 * STATE :]
         np.multiply(g[:, STATE:], ups[t], out=n)
-        n += xs[t, :, 2 * STATE :]
+        n += x[:, 2 * STATE :]
         np.tanh(n, out=n)
         h = states[t]
         np.subtract(before[t], n, out=h)
@@ -263,31 +264,42 @@ def _backward(model: Gru, h0: np.ndarray, source: np.ndarray, target: np.ndarray
     d_states += d_own.take(place, axis=0)
     d_states = d_states.reshape(steps, rows, STATE)
 
-    # Whatever follows from the states alone is worked out for all steps at once; the way back has only what passes from step to step.
-    z, r = gates[:, :, :STATE], gates[:, :, STATE:]
-    to_n = (1 - z) * (1 - news * news)
-    to_z = (before - news) * z * (1 - z)
-    to_r = ups * r * (1 - r)
-    d_x, d_us = np.empty((steps, rows, 3 * STATE), kind), np.empty((steps, rows, 3 * STATE), kind)
-    d_h, u_t = np.zeros((rows, STATE), kind), np.ascontiguousarray(model.u.T)
+    # Step by step, each array of a step small enough for a core's own memory.
+    for k in ("u", "p", "b"):
+        grads[k] = np.zeros_like(getattr(model, k))
+    d_e, u_t, p_t, ones = np.empty((steps, rows, EMBED), kind), np.ascontiguousarray(model.u.T), np.ascontiguousarray(model.p.T), np.ones(rows, kind)
+    d_x, d, d_h = np.empty((rows, 3 * STATE), kind), np.empty((rows, 3 * STATE), kind), np.zeros((rows, STATE), kind)
+    one, d_n, rest, back, by_input = kind.type(1), np.empty((rows, STATE), kind), np.empty((rows, STATE), kind), np.empty((rows, STATE), kind), np.empty((rows, EMBED), kind)
     for t in reversed(range(steps)):
         d_h += d_states[t]
-        d = d_us[t]
-        d_n = d_x[t, :, 2 * STATE :]
-        np.multiply(d_h, to_n[t], out=d_n)
-        np.multiply(d_h, to_z[t], out=d[:, :STATE])
-        np.multiply(d_n, to_r[t], out=d[:, STATE : 2 * STATE])
-        np.multiply(d_n, r[t], out=d[:, 2 * STATE :])
-        d_h *= z[t]
-        d_h += d @ u_t
+        n, z, r = news[t], gates[t, :, :STATE], gates[t, :, STATE:]
+        np.subtract(one, z, out=rest)
+        np.multiply(n, n, out=d_n)
+        np.subtract(one, d_n, out=d_n)
+        d_n *= rest
+        d_n *= d_h
+        np.subtract(before[t], n, out=back)
+        back *= z
+        back *= rest
+        np.multiply(back, d_h, out=d[:, :STATE])
+        np.multiply(ups[t], r, out=back)
+        np.subtract(one, r, out=rest)
+        back *= rest
+        np.multiply(back, d_n, out=d[:, STATE : 2 * STATE])
+        np.multiply(d_n, r, out=d[:, 2 * STATE :])
+        d_x[:, : 2 * STATE], d_x[:, 2 * STATE :] = d[:, : 2 * STATE], d_n
+        model.e.take(source[t], axis=0, out=by_input, mode="clip")
+        grads["u"] += before[t].T @ d
+        grads["p"] += by_input.T @ d_x
+        grads["b"] += ones @ d_x
+        np.matmul(d_x, p_t, out=d_e[t])
+        d_h *= z
+        np.matmul(d, u_t, out=back)
+        d_h += back
         d_h *= goes_on[t]
-    d_x[:, :, : 2 * STATE] = d_us[:, :, : 2 * STATE]
-    grads["u"] = before.reshape(size, STATE).T @ d_us.reshape(size, 3 * STATE)
-    d_x = d_x.reshape(size, 3 * STATE)
-    grads["p"], grads["b"] = model.e.take(inputs, axis=0).T @ d_x, np.ones(size, kind) @ d_x
     order = np.argsort(inputs.astype(np.uint16), kind="stable")
     begins = np.flatnonzero(np.diff(inputs[order], prepend=-1))
-    grads["e"][inputs[order[begins]]] = _sums((d_x @ model.p.T).take(order, axis=0), begins)
+    grads["e"][inputs[order[begins]]] = _sums(d_e.reshape(size, EMBED).take(order, axis=0), begins)
     for g in grads.values():
         g *= kind.type(1 / size)
     return last, grads, loss / size

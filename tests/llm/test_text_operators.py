@@ -9,6 +9,7 @@ import struct
 import subprocess
 import sys
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -419,6 +420,17 @@ def test_gradients():
         assert (up - down) / (2 * eps) == pytest.approx(grads[k][at], rel=1e-3)
 
 
+def test_a_window_is_learned_from_step_by_step():
+    model, rng = gru.start(np.arange(4096, 0, -1.0), 7.0, 4.0), np.random.default_rng(0)
+    source, target = rng.integers(0, 4098, (2, 512, gru.STEPS))
+    tracemalloc.start()
+    try:
+        gru._backward(model, np.zeros((512, gru.STATE), np.float32), source, target)
+        assert tracemalloc.get_traced_memory()[1] < 40e6  # 50 with the inputs' arrays of all steps
+    finally:
+        tracemalloc.stop()
+
+
 def test_lm_scores(spark, monkeypatch, small):
     monkeypatch.setattr(lm_score, "SENT_WORDS", 300)
     monkeypatch.setattr(lm_score, "MODEL_WORDS", 120)
