@@ -9,12 +9,12 @@ weights are averaged by their numbers of symbols.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +26,8 @@ from .scratch import as_bytes, store
 MODEL_WORDS, SENT_WORDS = 4096, 1 << 18
 #: Rounds of averaging, the rate of the first, and the pieces that a task's weights are passed on in: a task that averages holds pieces, not models.
 ROUNDS, RATE, PIECES = 8, 0.03, 256
-#: A task passes its counts on when it holds so many words.
-_HELD_WORDS = 1 << 19
+#: Bytes of texts that a task takes apart at once, and whole texts beyond.
+_SLICE_BYTES = 1 << 25
 #: Steps of the scale of counts per doubling.
 _STEPS = 64
 HELD_OUT = (7, 2)
@@ -38,54 +38,80 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % HELD_OUT[0] == HELD_OUT[1]
 
 
-def words_of(raw: bytes) -> list[bytes]:
-    return raw.lower().split()
+def _slices(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+    """All rows in their order, about _SLICE_BYTES of the texts in column text_at at once."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begins = np.flatnonzero(np.diff(sizes // _SLICE_BYTES, prepend=-1)).tolist()
+        for begin, end in pairwise([*begins, batch.num_rows]):
+            yield batch.slice(begin, end - begin)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n) of a task's training texts; the empty word is the end of a text."""
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, one after the other, lower-cased in A-Z between ASCII white space, and the number of each text's; null has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, ""))))
+    words, n = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    some = pc.not_equal(pc.binary_length(words), 0)  # a text without words is split into one empty word
+    if len(words) and not pc.all(some).as_py():
+        n = np.bincount(np.repeat(np.arange(len(n)), n), some.to_numpy(zero_copy_only=False), len(n)).astype(np.int64)
+        words = words.filter(some)
+    return words, n
 
-    def out(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-    counts: Counter[bytes] = Counter()
-    for batch in batches:
-        for raw in as_bytes(batch.column(0)):
-            counts.update(words_of(raw))
-        counts[b""] += batch.num_rows
-        if len(counts) > _HELD_WORDS:
-            yield out(counts)
-            counts = Counter()
-    yield out(counts)
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) of a task's training texts, a word once a slice; the empty word is the end of a text."""
+    for batch in _slices(batches, 0):
+        found = pc.value_counts(words_of(batch.column(0))[0])
+        yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], ["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([batch.num_rows], pa.int64())], ["word", "n"])
+
 
+class Lexicon:
+    """What a task takes texts apart with: the frequent words, those of the model first, their counts' logs and, last, the log of an unknown word's place."""
 
-class Scorer:
-    """What every task gets: the frequent words with their counts and the model."""
+    def __init__(self, words: list[bytes], counts: np.ndarray, n_ends: int, n_model: int):
+        self.words, self.logs, self.n_ends, self.n_model = pa.array(words, pa.binary()), np.append(np.log10(counts + 1.0), 0.0), n_ends, n_model
 
-    def __init__(self, words: list[bytes], counts: np.ndarray, n_ends: int, totals: tuple[int, int], model: gru.Gru):
-        self.words, self.logs, self.n_ends, self.totals, self.model = words, np.log10(counts + 1.0), n_ends, totals, model
-        self.index: dict[bytes, int] | None = None
+    def codes(self, words: pa.Array) -> np.ndarray:
+        """The number of each word, -1 if it is not among them."""
+        kind = pa.large_binary() if pa.types.is_large_string(words.type) else pa.binary()
+        return pc.fill_null(pc.index_in(words.cast(kind), self.words.cast(kind)), -1).to_numpy(zero_copy_only=False)
 
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        if self.index is None:
-            self.index = {w: k for k, w in enumerate(self.words)}
-        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int32, len(words))
 
-    def symbols(self, codes: np.ndarray) -> np.ndarray:
-        model = self.model
-        return np.append(np.where((codes >= 0) & (codes < model.n_words), codes, model.other), model.end).astype(np.int32)
+_TAKEN = "row_no long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, base_logs double, tail_logs double, missing array<string>, symbols binary, round_no int"
 
 
-def _symbols(sent, rounds: int):
-    """(round_no, symbols) of the training texts, symbols of the model in two bytes each."""
+def _taken(sent, rounds: int):
+    """Every row with its sums over words, the words that are not in the lexicon and the symbols of the model, two bytes each; training rows are dealt to rounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, other, end = sent.value
-        get, seen = {w: k for k, w in enumerate(words)}.get, TaskContext.get().partitionId()
-        for batch in batches:
-            texts = [np.fromiter(chain(map(get, words_of(raw), repeat(other)), (end,)), "<u2").tobytes() for raw in as_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array((seen + np.arange(len(texts))) % rounds, pa.int32()), pa.array(texts, pa.binary())], ["round_no", "symbols"])
-            seen += len(texts)
+        lexicon: Lexicon = sent.value
+        part, m = TaskContext.get().partitionId(), lexicon.n_model
+        row_no, seen = part << 40, part
+        for batch in _slices(batches, 2):
+            words, n = words_of(batch.column(2))
+            rows, codes = batch.num_rows, lexicon.codes(words)
+            text = np.repeat(np.arange(rows, dtype=np.int32), n)
+            missing, in_model = codes < 0, (codes >= 0) & (codes < m)
+            n_missing, n_in = (np.bincount(text[x], minlength=rows) for x in (missing, in_model))
+            base, tail = (np.bincount(text, lexicon.logs[x], rows) for x in (codes, np.where(in_model, -1, codes)))
+            symbols = np.full(len(codes) + rows, m + 1, "<u2")  # the end, where no word is put
+            symbols[np.arange(len(codes)) + text] = np.where(in_model, codes, m)
+            ends = np.cumsum(2 * (n + 1), dtype=np.int64)
+            held = batch.column(1).to_numpy(zero_copy_only=False)
+            nth = np.cumsum(~held)
+            arrays = [
+                pa.array(np.arange(rows) + row_no),
+                *batch.columns[:2],
+                *(pa.array(x, pa.int64()) for x in (n + 1, n - n_missing + (lexicon.n_ends > 0), n - n_in)),
+                pa.array(base + math.log10(lexicon.n_ends + 1), pa.float64()),
+                pa.array(tail, pa.float64()),  # of no words, bincount's is whole numbers
+                pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n_missing]), pa.int32()), words.filter(pa.array(missing)).cast(pa.string())),
+                pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(symbols)]).cast(pa.binary()),
+                pa.array(np.where(held, -1, (seen + nth - 1) % rounds), pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in _TAKEN.split(", ")])
+            row_no, seen = row_no + rows, seen + int(nth[-1])
 
     return run
 
@@ -115,14 +141,12 @@ def _averaged(rows: pa.Table) -> pa.Table:
     return pa.table({"piece": rows["piece"][:1], "weights": pa.array([(total / n).astype("<f4").tobytes()], pa.binary())})
 
 
-def fit_all(training: DataFrame, model: gru.Gru, words: list[bytes], epochs: int = 1) -> gru.Gru:
-    """The model after `epochs` passes over all texts, the only column of training, each in ROUNDS rounds; the rate falls from round to round.
+def fit_all(texts: DataFrame, model: gru.Gru, epochs: int = 1) -> gru.Gru:
+    """The model after `epochs` passes over all texts (round_no, symbols), each in ROUNDS rounds; the rate falls from round to round.
 
     The driver gets one model a round, whatever the number of tasks.
     """
-    context = training.sparkSession.sparkContext
-    found = training.mapInArrow(_symbols(context.broadcast((words[: model.n_words], model.other, model.end)), ROUNDS), "round_no int, symbols binary")
-    texts = store(found, "lm_symbols", by="round_no")
+    context = texts.sparkSession.sparkContext
     for k in range(rounds := epochs * ROUNDS):
         parts = texts.where(F.col("round_no") == k % ROUNDS).select("symbols").mapInArrow(_fitted(context.broadcast(model), RATE * (1 - k / rounds)), "piece int, part int, n long, weights binary")
         means = parts.groupBy("piece").applyInArrow(_averaged, "piece int, weights binary").collect()
@@ -131,35 +155,16 @@ def fit_all(training: DataFrame, model: gru.Gru, words: list[bytes], epochs: int
     return model
 
 
-_SCORED = "row_no long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, base_logs double, model_logs double, missing array<string>"
+_SCORED = "row_no long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, base_logs double, model_logs double"
 
 
 def _scored(sent) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer: Scorer = sent.value
-        row_no, model = TaskContext.get().partitionId() << 40, scorer.model
-        end_log = math.log10(scorer.n_ends + 1)
+        model: gru.Gru = sent.value
         for batch in batches:
-            missing, symbols, n_tokens, n_known, n_other, base, tail = [], [], [], [], [], [], []
-            for raw in as_bytes(batch.column(2)):
-                words = words_of(raw)
-                codes = scorer.codes(words)
-                known = codes >= 0
-                missing.append([words[k] for k in np.flatnonzero(~known)])
-                symbols.append(scorer.symbols(codes))
-                logs = scorer.logs[codes[known]]
-                n_tokens.append(len(words) + 1)
-                n_known.append(int(known.sum()) + (scorer.n_ends > 0))
-                n_other.append(int((symbols[-1] == model.other).sum()))
-                base.append(float(logs.sum()) + end_log)
-                tail.append(float(scorer.logs[codes[codes >= model.n_words]].sum()))
-            model_logs = gru.score(model, symbols) / math.log(10) + np.array(tail)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, missing)]), pa.int32()), pa.array([w for m in missing for w in m], pa.binary()).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(batch.num_rows) + row_no), *batch.columns[:2], *(pa.array(x, pa.int64()) for x in (n_tokens, n_known, n_other)), pa.array(base), pa.array(model_logs), lists],
-                ["row_no", "doc_id", "held_out", "n_tokens", "n_known", "n_other", "base_logs", "model_logs", "missing"],
-            )
-            row_no += batch.num_rows
+            *same, tail, symbols = batch.columns
+            logs = gru.score(model, [np.frombuffer(x, "<u2") for x in symbols.to_pylist()])
+            yield pa.RecordBatch.from_arrays([*same, pa.array(logs / math.log(10) + tail.to_numpy(), pa.float64())], [x.split()[0] for x in _SCORED.split(", ")])
 
     return run
 
@@ -195,14 +200,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words, numbers = [w for _, w in order], np.array([k for k, _ in order], np.float64)
     m = min(model_words or MODEL_WORDS, len(words))
     n_other, v_other = n - n_ends - int(numbers[:m].sum()), max(0, v - m - 1)
-    model = fit_all(training, gru.start(numbers[:m], n_other, n_ends), words, epochs)
-    scorer = Scorer(words, numbers, n_ends, (n, v), model)
-
-    rows = store(slim.mapInArrow(_scored(spark.sparkContext.broadcast(scorer)), _SCORED), "lm_rows")
-    rare = rows.select("row_no", F.explode("missing").alias("word"))
+    lexicon = Lexicon(words, numbers, n_ends, m)
+    # Each text is taken apart once more, now by the words' numbers; the fit and the scoring read symbols.
+    taken = store(slim.mapInArrow(_taken(spark.sparkContext.broadcast(lexicon), ROUNDS), _TAKEN), "lm_taken", by="round_no")
+    model = fit_all(taken, gru.start(numbers[:m], n_other, n_ends), epochs)
+    symbols = taken.select("row_no", "doc_id", "held_out", "n_tokens", "n_known", "n_other", "base_logs", "tail_logs", "symbols")
+    rows = store(symbols.mapInArrow(_scored(spark.sparkContext.broadcast(model)), _SCORED), "lm_rows")
+    rare = taken.select("row_no", F.explode("missing").alias("word"))
     rest = words_only.where(step < least)  # no other word can be missing
     found = rare.join(rest, "word").groupBy("row_no").agg(F.sum(F.log10(F.col("n") + 1.0)).alias("logs"), F.count("*").alias("found"))
-    out = rows.drop("missing").join(found, "row_no", "left")
+    out = rows.join(found, "row_no", "left")
     logs = F.coalesce("logs", F.lit(0.0))
     return out.select(
         "doc_id",

@@ -450,6 +450,32 @@ def test_lm_scores(spark, monkeypatch, small):
     assert lm_score.score_documents(docs.limit(0)).count() == 0
 
 
+def test_words_are_those_between_ascii_white_space(monkeypatch):
+    monkeypatch.setattr(lm_score, "_SLICE_BYTES", 8)
+    texts = [None, "", " \t\r\n\v\f ", "  One\x0btwo\x0cTWO\x1c\x1f  x\x85y ", "É\u2003é\xa0Z z\x00", "one", "a long one " * 40, None]
+    want = [(t or "").encode().lower().split() for t in texts]
+    words, n = lm_score.words_of(pa.array(texts))
+    assert words.cast(pa.binary()).to_pylist() == [w for ws in want for w in ws] and n.tolist() == [len(ws) for ws in want]
+    counts = Counter()
+    for b in lm_score._counted(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), pa.RecordBatch.from_arrays([pa.array([], pa.string())], ["text"])])):
+        for w, k in zip(b["word"].to_pylist(), b["n"].to_pylist(), strict=True):
+            counts[w.encode()] += k
+    assert counts == Counter(w for ws in want for w in [*ws, b""])
+
+
+def test_a_text_is_taken_apart_once_to_count_and_once_to_score(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def text(k):
+        read.add(1)
+        return "some words " * (k % 5)
+
+    docs = spark.range(70).select(F.col("id").alias("doc_id"), F.udf(text, "string")("id").alias("text"))
+    training = sum(zlib.crc32(str(k).encode()) % 7 != 2 for k in range(70))
+    assert lm_score.score_documents(docs).count() == 70
+    assert read.value == training + 70  # the fit reads symbols, no texts
+
+
 def test_every_symbol_is_learned_from(monkeypatch):
     monkeypatch.setattr(gru, "_CHUNK", 3000)
     model = gru.start(np.array([9.0, 5, 3]), 7.0, 4.0)
