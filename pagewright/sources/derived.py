@@ -12,13 +12,26 @@ from pyspark.sql import functions as F
 PAGE = ("doc_id", "page_no")
 
 
+#: Bytes of files that make a partition of rows dealt by key.
+PIECE = 4 << 20
+
+
+def dealt(rows: DataFrame, of: DataFrame, *keys: str) -> DataFrame:
+    """rows dealt by keys, into more partitions the larger the files of `of` are, so that a task's rows, and what it sorts, do not grow with the input."""
+    pieces = int(str(of._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // PIECE
+    if pieces <= int(of.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows.repartition(*keys)
+    return rows.repartition(min(pieces, 1 << 14), *keys)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, page_no, i, text, source, box; dealt by page, the partitioning that all page-wise operators need."""
-    raw = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
+    documents = table(spark, folder, "documents")
+    raw = documents.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
     i = F.col("i").cast("long")
     x0, y0 = 40 + (i % 3) * 4, (i % 40) * 24
     found = raw.where(F.trim("text") != "").select(
@@ -32,7 +45,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
         (x0 + F.least(F.length("text") * 8, F.lit(1500))).cast("long").alias("x1"),
         (y0 + 16 + (F.col("doc_id") + i) % 5).alias("y1"),
     )
-    return found.repartition(*PAGE)
+    return dealt(found, documents, *PAGE)
 
 
 def regions(of_lines: DataFrame) -> DataFrame:

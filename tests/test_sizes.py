@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from pagewright import registry
+from pagewright.sources import derived as D
 
 
 def shuffles(df) -> int:
@@ -14,3 +15,10 @@ def shuffles(df) -> int:
 @pytest.mark.parametrize("name", ["row_texts"])
 def test_lines_and_orders_are_dealt_once(spark, small, name):
     assert shuffles(registry.QUERIES[name](spark, small)) <= 2
+
+
+@pytest.mark.parametrize("name", ["gap_segments", "grid_expand"])
+def test_partitions_grow_with_the_files(spark, small, monkeypatch, name):
+    monkeypatch.setattr(D, "PIECE", 1 << 12)
+    plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
