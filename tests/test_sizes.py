@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from pagewright import registry
@@ -19,6 +21,19 @@ def test_lines_and_orders_are_dealt_once(spark, small, name):
 
 @pytest.mark.parametrize("name", ["gap_segments", "grid_expand"])
 def test_partitions_grow_with_the_files(spark, small, monkeypatch, name):
-    monkeypatch.setattr(D, "PIECE", 1 << 12)
-    plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_NUM" in plan
+    pieces = []
+    for piece in (1 << 14, 1 << 10):
+        monkeypatch.setattr(D, "PIECE", piece)
+        plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        pieces.append(int(re.search(r", (\d+)\), REPARTITION_BY_NUM", plan)[1]))
+    assert pieces[1] > 8 * pieces[0] // 2
+
+
+def test_a_page_of_two_branches_is_met_whole(spark, small):
+    """With partitions that may be joined at run time, a page's regions were met without its lines: no text was filled up from them."""
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        got = registry.QUERIES["digital_anchoring"](spark, small).where("filled").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got > 0
