@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
+from difflib import SequenceMatcher
+from types import SimpleNamespace
 
 import pytest
 
 from pagewright import registry
+from pagewright.functions import match
+from pagewright.operators import align
 from pagewright.sources import derived as D
 
 
@@ -37,3 +43,35 @@ def test_a_page_of_two_branches_is_met_whole(spark, small):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert got > 0
+
+
+def test_matching_blocks_are_difflibs(monkeypatch):
+    rng = random.Random(1)
+    for wide in (match.WIDE, 0):
+        monkeypatch.setattr(match, "WIDE", wide)
+        for _ in range(300):
+            letters = rng.choice(["ab", "abcdefghijkl가é😀"])
+            a, b = ("".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(2))
+            b = rng.choice([b, a[::-1], a[20:] + b[:9] + a[:20]])
+            want = [tuple(x) for x in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()]
+            said = sum(x[2] for x in want)
+            assert match.matching_blocks(a, b) == want
+            assert [match.matched_from(a, b, n) for n in (said, said + 1)] == [said, 0] and match.reaches(a, b, said) and not match.reaches(a, b, said + 1)
+
+
+def test_a_long_line_is_aligned_in_seconds():
+    """The matcher looked at every pair of equal letters: a line of 60,000 against its reverse took minutes."""
+    rng = random.Random(2)
+    text = "".join(rng.choice("etaoinshr") for _ in range(60_000))
+    rows = [SimpleNamespace(kind="region", pos=1, id="r", key=text, paragraph=False), SimpleNamespace(kind="node", pos=1, id="", key=text[::-1], paragraph=True)]
+    began = time.process_time()
+    assert align.follow(rows) == [(1, None, "no_region_text_match")]
+    assert time.process_time() - began < 10
+
+
+def test_a_garbled_node_goes_to_the_likest_region():
+    """Regions that a node's text is not held by count only where they can be chosen; the choice is that of all scores."""
+    keys = ["abcdefghij" * 5 + "x", "qwertyuiop" * 5, "abcdefghij" * 5]
+    rows = [SimpleNamespace(kind="region", pos=k, id=f"r{k}", key=x, paragraph=False) for k, x in enumerate(keys)]
+    nodes = [SimpleNamespace(kind="node", pos=k, id="", key=x, paragraph=False) for k, x in enumerate(["qwertyuiop" * 5, "abcdefghij" * 5, "abcdefghij" * 4 + "abcdefghiZ", "zzzz" * 9])]
+    assert [x[1] for x in align.follow(rows + nodes)] == ["r1", "r2", "r2", None]
