@@ -14,6 +14,8 @@ from pyspark.sql.types import DoubleType, StringType
 from .match import matched_from
 
 HANGUL = r"[가-힣]"
+# What is no digit, Latin letter or Hangul syllable, named by what it is: with a class by what it is not, the same takes ten times as long.
+_OTHER = r"[\x00-/:-@\[-`{-\x{ABFF}\x{D7A4}-\x{10FFFF}]+"
 
 
 def _text(c: Column) -> Column:
@@ -44,7 +46,7 @@ def no_space(c: Column) -> Column:
 
 def plain(c: Column) -> Column:
     """Digits, Latin letters and Hangul syllables only, lower case."""
-    return F.lower(F.regexp_replace(_text(c), "[^0-9a-zA-Z가-힣]", ""))
+    return F.lower(F.regexp_replace(_text(c), _OTHER, ""))
 
 
 def one_space(c: Column) -> Column:
@@ -64,7 +66,7 @@ def safe_name(c: Column) -> Column:
 def quote_key(c: Column, strict: bool = True) -> Column:
     """What a quote is compared by: no line breaks, closing dots, white space or bars; loosely, no punctuation at all."""
     t = F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(_text(c), r"(?i)<br\s*/?>", "")), r"(?:…|\.{3})+\s*$", ""), r"(?U)[\s|]+", "")
-    return t if strict else F.regexp_replace(t, "[^0-9A-Za-z가-힣]", "")
+    return t if strict else F.regexp_replace(t, _OTHER, "")
 
 
 @pandas_udf(StringType())

@@ -12,6 +12,7 @@ import pytest
 
 from pagewright import registry
 from pagewright.functions import match
+from pagewright.functions import text as T
 from pagewright.operators import align
 from pagewright.sources import derived as D
 
@@ -75,3 +76,24 @@ def test_a_garbled_node_goes_to_the_likest_region():
     rows = [SimpleNamespace(kind="region", pos=k, id=f"r{k}", key=x, paragraph=False) for k, x in enumerate(keys)]
     nodes = [SimpleNamespace(kind="node", pos=k, id="", key=x, paragraph=False) for k, x in enumerate(["qwertyuiop" * 5, "abcdefghij" * 5, "abcdefghij" * 4 + "abcdefghiZ", "zzzz" * 9])]
     assert [x[1] for x in align.follow(rows + nodes)] == ["r1", "r2", "r2", None]
+
+
+def test_page_texts_are_not_paired_with_lines(spark, small):
+    """Each region's lines met each node's text of the page, and each node each page of the document."""
+    for name in ("structure_corroboration", "page_repartition"):
+        plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Join") <= (1 if name == "structure_corroboration" else 0), name
+
+
+def test_a_page_that_holds_a_node_is_not_matched_against_others(monkeypatch):
+    rows = [SimpleNamespace(rank=0, pos=k, key=x, declared=None) for k, x in ((1, "abcdef"), (2, "xabcdey"), (3, "qqqq"))]
+    node = lambda pos, key: SimpleNamespace(rank=1, pos=pos, key=key, declared=9)
+    assert align.best_pages([*rows, node(5, "abcdez"), node(6, ""), node(7, "abcdefqqqqqqq")]) == [(5, 1), (6, 3), (7, 1)]
+    monkeypatch.setattr(align.T, "ratio_from", None)
+    assert align.best_pages([*rows, node(5, "abcde")]) == [(5, 2)]
+
+
+def test_plain_drops_all_but_digits_letters_and_hangul(spark):
+    texts = ["".join(map(chr, (*range(0x0, 0x3000), 0xABFF, 0xAC00, 0xD7A3, 0xD7A4, 0xFFFD, 0x1F600, 0x10FFFF))), None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.plain("t")).collect()]
+    assert got == [re.sub("[^0-9a-zA-Z가-힣]", "", t or "").lower() for t in texts]
