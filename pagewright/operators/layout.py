@@ -136,14 +136,19 @@ def novel_blocks(visual: DataFrame, structured: DataFrame, key: str = "block_id"
     return joined.withColumn("duplicate", F.coalesce("duplicate", F.lit(False)) | markup).drop("tabled")
 
 
-def drop_adjacent_repeats(lines: DataFrame, keys: tuple[str, ...], parser_text: Column, least: int = 8) -> DataFrame:
-    """Lines by pos without those equal to the line before, if they have `least` characters and the parser's text has them just once."""
-    before = F.lag("text").over(Window.partitionBy(*keys).orderBy("pos"))
-    key = T.no_space_lower("text")
-    all_text = T.no_space_lower(parser_text)
-    times = (F.length(all_text) - F.length(F.replace(all_text, key, F.lit("")))) / F.length(key)
-    repeat = (T.no_space_lower(before) == key) & (F.length(key) >= least) & (times == 1)
-    return lines.withColumn("before", before).withColumn("repeat", F.coalesce(repeat, F.lit(False))).where("not repeat").drop("before", "repeat")
+def drop_adjacent_repeats(lines: DataFrame, parser: DataFrame, keys: tuple[str, ...], least: int = 8) -> DataFrame:
+    """keys and pos of lines but those equal to the line before that have `least` characters and that the parser's text has just once.
+
+    lines: keys, pos, text; parser: keys, text, of which only keys with such a line are looked at, each once for all its lines.
+    """
+    k = lines.select(*keys, "pos", T.no_space_lower("text").alias("key"))
+    before = F.lag("key").over(Window.partitionBy(*keys).orderBy("pos"))
+    k = k.withColumn("again", F.coalesce((before == F.col("key")) & (F.length("key") >= least), F.lit(False)))
+    some = k.groupBy(*keys).agg(F.collect_list(F.struct("pos", F.when(F.col("again"), F.col("key")).alias("key"))).alias("rows"))
+    met = some.join(parser.select(*keys, T.no_space_lower("text").alias("said")), list(keys), "left")
+    times = lambda key: (F.length("said") - F.length(F.replace(F.col("said"), key, F.lit("")))) / F.length(key)
+    kept = F.filter("rows", lambda x: x["key"].isNull() | ~F.coalesce(times(x["key"]) == 1, F.lit(False)))
+    return met.select(*keys, F.explode(F.transform(kept, lambda x: x["pos"])).alias("pos"))
 
 
 def percent_boxes(regions: DataFrame, width: Column, height: Column) -> DataFrame:

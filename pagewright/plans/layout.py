@@ -81,8 +81,8 @@ def adjacent_repeat_removal(spark: SparkSession, folder: str) -> DataFrame:
     lines = D.lines(spark, folder).select("doc_id", "page_no", "i", "text")
     twice = lines.withColumn("n", F.explode(F.when(F.col("i") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     rows = twice.select("doc_id", "page_no", (F.col("i") * 2 + F.col("n")).alias("pos"), "text")
-    whole = lines.groupBy("doc_id", "page_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda s: s["text"]), "\n").alias("whole"))
-    return L.drop_adjacent_repeats(rows.join(whole, list(D.PAGE)), D.PAGE, F.col("whole")).select("doc_id", "page_no", "pos")
+    whole = lines.groupBy("doc_id", "page_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda s: s["text"]), "\n").alias("text"))
+    return L.drop_adjacent_repeats(rows, whole, D.PAGE)
 
 
 def percent_rectangles(spark: SparkSession, folder: str) -> DataFrame:
