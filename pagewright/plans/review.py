@@ -39,8 +39,7 @@ def row_cluster(spark: SparkSession, folder: str) -> DataFrame:
     raw = D.lines(spark, folder).select("doc_id", "page_no", F.col("i").alias("line"), "y0", F.posexplode(F.split("text", " ")).alias("k", "w"))
     y0 = F.col("y0") + (F.col("k") * 5 + F.col("doc_id")) % 13
     boxes = raw.select("doc_id", "page_no", (F.shiftleft("line", 20) + F.col("k")).alias("i"), (F.col("k") * 50).cast("long").alias("x0"), y0.alias("y0"), (F.col("k") * 50 + 40).cast("long").alias("x1"), (y0 + 14).alias("y1"))
-    found = [folds.row_clusters(boxes, rule).withColumnRenamed("row", name) for name, rule in (("by_last", folds.rows_by_last), ("by_first", folds.rows_by_first), ("by_middle", folds.rows_by_middle))]
-    return found[0].join(found[1], ["doc_id", "page_no", "i"]).join(found[2], ["doc_id", "page_no", "i"])
+    return folds.row_clusters(boxes, by_last=folds.rows_by_last, by_first=folds.rows_by_first, by_middle=folds.rows_by_middle)
 
 
 def read_chunks(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pytest
 from pagewright import registry
 from pagewright.functions import match
 from pagewright.functions import text as T
-from pagewright.operators import align
+from pagewright.operators import align, folds, layout
 from pagewright.sources import derived as D
 
 
@@ -88,7 +88,7 @@ def test_page_texts_are_not_paired_with_lines(spark, small):
 def test_a_page_that_holds_a_node_is_not_matched_against_others(monkeypatch):
     rows = [SimpleNamespace(rank=0, pos=k, key=x, declared=None) for k, x in ((1, "abcdef"), (2, "xabcdey"), (3, "qqqq"))]
     node = lambda pos, key: SimpleNamespace(rank=1, pos=pos, key=key, declared=9)
-    assert align.best_pages([*rows, node(5, "abcdez"), node(6, ""), node(7, "abcdefqqqqqqq")]) == [(5, 1), (6, 3), (7, 1)]
+    assert align.best_pages([*rows, node(5, "abcdez"), node(6, ""), node(7, "abcdefqqqqqqq")]) == [(5, 1), (6, 3), (7, 2)]
     monkeypatch.setattr(align.T, "ratio_from", None)
     assert align.best_pages([*rows, node(5, "abcde")]) == [(5, 2)]
 
@@ -97,3 +97,30 @@ def test_plain_drops_all_but_digits_letters_and_hangul(spark):
     texts = ["".join(map(chr, (*range(0x0, 0x3000), 0xABFF, 0xAC00, 0xD7A3, 0xD7A4, 0xFFFD, 0x1F600, 0x10FFFF))), None]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.plain("t")).collect()]
     assert got == [re.sub("[^0-9a-zA-Z가-힣]", "", t or "").lower() for t in texts]
+
+
+def test_words_of_a_page_are_dealt_once(spark, small):
+    """Three folds, each dealt and sorted for itself, were joined."""
+    plan = registry.QUERIES["row_cluster"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert shuffles(registry.QUERIES["row_cluster"](spark, small)) == 1 and "Join" not in plan
+
+
+def test_rows_by_first_of_any_order():
+    rng = random.Random(3)
+    lines = [SimpleNamespace(i=k, y0=(y := rng.randint(0, 200)), y1=y + rng.randint(1, 40)) for k in range(120)]
+    fits = lambda r, h: (min(r.y1, h.y1) - max(r.y0, h.y0)) / max(1, min(r.y1 - r.y0, h.y1 - h.y0)) >= 0.5
+    for given in (lines, sorted(lines, key=lambda r: r.y0)):
+        heads, want = [], []
+        for r in given:
+            k = next((k for k, h in enumerate(heads) if fits(r, h)), len(heads))
+            heads += [r] * (k == len(heads))
+            want.append((r.i, k))
+        assert folds.rows_by_first(given) == want
+
+
+def test_repeats_meet_a_page_text_once(spark):
+    """The page's text was normalised for every line of it."""
+    lines = spark.createDataFrame([(1, k, t) for k, t in enumerate(["Eight chars", "eight  CHARS", "short", "short", "twice, twice", "twice, twice"])] + [(2, 1, "x" * 9), (2, 2, "x" * 9)], "k int, pos int, text string")
+    parser = spark.createDataFrame([(1, "eightchars short TWICE,twice twice,twice")], "k int, text string")
+    got = layout.drop_adjacent_repeats(lines, parser, ("k",))
+    assert sorted(map(tuple, got.collect())) == [(1, 0), (1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (2, 2)]
