@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..functions import geometry as G
 from ..functions import text as T
 from ..options import DEFAULT
 from ..sources.derived import PAGE
+from .folds import per_group
 
 # How names of fonts end that are not bold, and that are.
 NOT_BOLD, BOLD = ("light", "regular", "medium", "thin", "-l", "-r", "-m", "l", "r", "m"), ("bold", "black", "heavy", "-b", "b")
@@ -78,17 +81,29 @@ def is_bold(weight: Column, font: Column) -> Column:
     return F.when(ends(NOT_BOLD), False).when(ends(BOLD), True).when(weight > 0, weight >= 700)
 
 
+def _style(size: list, bold: list, color: list, font: list, n: list, pos: list) -> Iterator[tuple]:
+    """A line's style from its kinds of characters, each with how many there are and where the first stands."""
+
+    def ranked(values: list) -> list:
+        found: dict = {}
+        for v, times, at in zip(values, n, pos, strict=True):
+            if v is not None:
+                total, first = found.get(v, (0, at))
+                found[v] = (total + times, min(first, at))
+        return sorted(found, key=lambda v: (-found[v][0], found[v][1]))
+
+    sizes, colors, fonts = ranked(size), ranked(color), ranked(font)
+    known = [b for b in bold if b is not None]
+    yield min(sizes, default=None), max(sizes, default=None), any(known) if known else None, *(next(iter(x), None) for x in (sizes, colors, fonts)), colors
+
+
 def line_styles(chars: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """A line's style from its characters': the most frequent size, colour and font (of equals the first seen), all colours so, least and largest size, bold if any is.
 
     chars: keys, pos, size, bold, color, font.
     """
-
-    def ranked(name: str) -> DataFrame:
-        per = chars.where(F.col(name).isNotNull()).groupBy(*keys, name).agg(F.count("*").alias("n"), F.min("pos").alias("p"))
-        return per.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "p", F.col(name).alias("v")))), lambda s: s["v"]).alias(f"{name}s"))
-
-    out = chars.groupBy(*keys).agg(F.min("size").alias("size_min"), F.max("size").alias("size_max"), F.max("bold").alias("bold"))
-    for name in ("size", "color", "font"):
-        out = out.join(ranked(name), list(keys), "left").withColumn(name, F.get(f"{name}s", F.lit(0)))
-    return out.drop("sizes", "fonts")
+    kinds = chars.groupBy(*keys, "size", "bold", "color", "font").agg(F.count("*").alias("n"), F.min("pos").alias("pos"))
+    of = dict(chars.dtypes)
+    schema = f"size_min {of['size']}, size_max {of['size']}, bold boolean, size {of['size']}, color {of['color']}, font {of['font']}, colors array<{of['color']}>"
+    found = per_group(kinds, keys, _style, schema)
+    return found.withColumn("colors", F.when(F.size("colors") > 0, F.col("colors")))
