@@ -64,8 +64,9 @@ def children(links: DataFrame) -> DataFrame:
 
 
 def assembled(owned: DataFrame) -> DataFrame:
-    """Per region: line_text (trimmed lines by place), n_lines, digital_share (of characters, case folded, null without any), has_digital, texts."""
-    size = F.length(T.no_space_lower("text"))
+    """Per region: line_text (trimmed lines by place), n_lines, digital_share (of characters, case folded, null without any), has_digital, texts (without white space, case folded)."""
+    owned = owned.withColumn("low", T.no_space_lower("text"))
+    size = F.length("low")
     ordered = F.array_sort(F.collect_list(F.struct("y0", "x0", "i", F.trim("text").alias("t"))))
     parts = F.filter(F.transform(ordered, lambda s: s["t"]), lambda t: t != "")
     total = F.sum(F.when(F.col("source").isin("digital", "ocr"), size))
@@ -74,7 +75,7 @@ def assembled(owned: DataFrame) -> DataFrame:
         F.count("*").alias("n_lines"),
         (F.sum(F.when(F.col("source") == "digital", size).otherwise(0)).cast("double") / F.when(total > 0, total)).alias("digital_share"),
         F.max(F.col("source") == "digital").alias("has_digital"),
-        F.collect_list("text").alias("texts"),
+        F.collect_list("low").alias("texts"),
     )
 
 
@@ -83,18 +84,21 @@ def choose_text(regions: DataFrame, lines: DataFrame, agreement: Column | None =
 
     regions: content (the block's text) and block_source (null for recognised blocks); lines: from assembled().
     """
-    r = regions.join(lines, [*PAGE, "region_id"], "left")
+    # Both texts' folded forms are columns below the join: above it they would be worked out again for each line of a region.
+    low = regions.withColumn("block_low", T.no_space_lower("content"))
+    r = low.join(lines.withColumn("line_low", T.no_space_lower("line_text")), [*PAGE, "region_id"], "left")
     block, line = F.coalesce("content", F.lit("")), F.coalesce("line_text", F.lit(""))
     structured = F.coalesce(F.startswith("block_source", F.lit("document_processor")), F.lit(False))
     mainly_digital = F.coalesce(F.col("digital_share") >= options.digital_share, F.lit(False))
     digital = F.coalesce("has_digital", F.lit(False))
-    missed = lambda text: F.filter(F.coalesce("texts", F.array().cast("array<string>")), lambda t: (F.length(T.no_space_lower(t)) >= 2) & ~F.contains(T.no_space_lower(text), T.no_space_lower(t)))
+    texts = F.coalesce("texts", F.array().cast("array<string>"))
+    missed = lambda low: F.size(F.filter(texts, lambda t: (F.length(t) >= 2) & ~F.contains(F.col(low), t)))
     both = (block != "") & (line != "")
     source = (
         F.when(both & structured, F.col("block_source"))
         .when(both & mainly_digital, "digital_ocr_lines")
         .when(both & digital, "ocr_digital_lines")
-        .when(both & (F.size(missed(block)) > 0), "ocr_lines_block_incomplete")
+        .when(both & (missed("block_low") > 0), "ocr_lines_block_incomplete")
         .when(both, "block_content")
         .when(block != "", F.coalesce("block_source", F.lit("block_content")))
         .when((line != "") & mainly_digital, "digital_ocr_fallback")
@@ -105,7 +109,8 @@ def choose_text(regions: DataFrame, lines: DataFrame, agreement: Column | None =
     r = r.withColumn("text_source", source)
     takes_block = (block != "") & (F.col("text_source").eqNullSafe(F.col("block_source")) | (F.col("text_source") == "block_content"))
     r = r.withColumn("text", F.when(takes_block, block).otherwise(line))
-    r = r.withColumn("gap_lines", F.when(block != "", F.size(missed(F.col("text")))).otherwise(0).cast("long"))
+    gaps = F.when(takes_block, missed("block_low")).otherwise(missed("line_low"))
+    r = r.withColumn("gap_lines", F.when(block != "", F.coalesce(gaps, F.lit(0))).otherwise(0).cast("long"))
     if agreement is not None:
         status = (
             F.when(both & structured, F.when(agreement >= options.strong_agreement, "sources_agree").otherwise("structured_primary"))
@@ -115,7 +120,7 @@ def choose_text(regions: DataFrame, lines: DataFrame, agreement: Column | None =
             .otherwise("empty")
         )
         r = r.withColumn("selection_status", status)
-    return r.drop("texts")
+    return r.drop("texts", "block_low", "line_low")
 
 
 def page_diagnostics(chosen: DataFrame, lines: DataFrame) -> DataFrame:
