@@ -35,7 +35,7 @@ def unassigned_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def covered_line_antijoin(spark: SparkSession, folder: str) -> DataFrame:
-    lines = D.lines(spark, folder)
+    lines = D.lines(spark, folder, stated=True)
     moved = lines.where("i % 3 <> 2").withColumns({"source": F.lit("ocr"), "y0": F.col("y0") + (F.col("i") % 5) * 4, "y1": F.col("y1") + (F.col("i") % 5) * 4})
     return assign.canonical_lines(lines.where("i % 2 = 0"), moved).select("doc_id", "page_no", "i", "source", "line_id")
 

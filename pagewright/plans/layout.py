@@ -58,7 +58,7 @@ def paragraph_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 def _visual(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Blocks of a page seen again: moved a little, their text with a character lost, some with another text or as a table's markup; and page-wide ones."""
-    regions = D.regions(D.lines(spark, folder))
+    regions = D.regions(D.lines(spark, folder, stated=True))
     shift = F.col("seq") % 4
     text = F.when(F.col("seq") % 7 == 2, F.concat(F.lit("<Table><tr><td>"), F.reverse("content"))).when(F.col("seq") % 5 == 0, F.reverse("content")).when(F.col("seq") % 3 == 0, F.lit("entirely new words")).otherwise(F.substring("content", 2, 1 << 30))
     near = regions.where("seq % 2 = 0").select(*D.PAGE, F.col("region_id").alias("block_id"), *[(F.col(c) + shift * 40).alias(c) for c in ("x0", "x1")], *[(F.col(c) + shift * 3).alias(c) for c in ("y0", "y1")], text.alias("content"))

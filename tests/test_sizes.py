@@ -124,3 +124,13 @@ def test_repeats_meet_a_page_text_once(spark):
     parser = spark.createDataFrame([(1, "eightchars short TWICE,twice twice,twice")], "k int, text string")
     got = layout.drop_adjacent_repeats(lines, parser, ("k",))
     assert sorted(map(tuple, got.collect())) == [(1, 0), (1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (2, 2)]
+
+
+def test_styles_are_counted_in_one_pass(spark, small):
+    """A join for each of size, colour and font."""
+    assert "Join" not in registry.QUERIES["line_styles"](spark, small)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_regions_do_not_meet_all_others_as_rows(spark, small):
+    plan = registry.QUERIES["source_replacement"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Contains(source_key" not in plan and plan.count("Join") <= 4
